@@ -69,8 +69,8 @@ def validity_join(facts: DataFrame, versions: DataFrame, key: str, at: str,
 
 
 def top1_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
-                 payload: Sequence[str]) -> DataFrame:
-    """Best row per key by ``order`` (first element of the ordering wins).
+                 payload: Sequence[str], largest: bool = False) -> DataFrame:
+    """Best row per key: smallest (or ``largest``) value of the tuple ``order``.
 
     ``TOP(1) ... ORDER BY`` per key, expressed as ``min_by`` over a struct so
     the work is a partial (map-side) aggregation: a key holding a third of
@@ -78,14 +78,15 @@ def top1_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     one task.
     """
     ordering = F.struct(*order)
-    best = F.min_by(F.struct(*[F.col(c) for c in payload]), ordering).alias("__best")
+    pick = F.max_by if largest else F.min_by
+    best = pick(F.struct(*[F.col(c) for c in payload]), ordering).alias("__best")
     return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"__best.{c}").alias(c) for c in payload])
 
 
 def lateral_top1(outer: DataFrame, inner: DataFrame, outer_key: str, inner_key: str,
-                 order: Sequence[Column], payload: Sequence[str]) -> DataFrame:
+                 order: Sequence[Column], payload: Sequence[str], largest: bool = False) -> DataFrame:
     """``OUTER APPLY (SELECT TOP 1 ... ORDER BY ...)``: left semantics, one row per outer row."""
-    best = top1_per_key(inner, [inner_key], order, payload)
+    best = top1_per_key(inner, [inner_key], order, payload, largest)
     return outer.join(best, outer[outer_key] == best[inner_key], "left").drop(best[inner_key])
 
 
