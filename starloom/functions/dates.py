@@ -19,7 +19,7 @@ def date_from_digits(x: str | Column) -> Column:
     (``lpad`` would keep the left ones), then parses month/day/year.
     """
     padded = F.right(F.concat(F.lit("00000000"), _c(x).cast("string")), F.lit(8))
-    return F.try_to_date(padded, F.lit("MMddyyyy"))
+    return F.try_to_date(padded, "MMddyyyy")
 
 
 def to_nullable_date(x: str | Column) -> Column:
@@ -39,7 +39,7 @@ def date_from_parts(year: str | Column, month: str | Column,
     ok = (y == F.floor(y)) & (m == F.floor(m))
     built = F.when(ok, F.try_to_date(
         F.concat_ws("-", y.cast("long").cast("string"), m.cast("long").cast("string"), F.lit("1")),
-        F.lit("y-M-d")))
+        "y-M-d"))
     return built if existing is None else F.coalesce(_c(existing).cast("date"), built)
 
 
@@ -71,4 +71,4 @@ def date_attributes(d: str | Column) -> list[Column]:
 
 def month_number(name: str | Column) -> Column:
     """Calendar position of an English month name (for ORDER BY)."""
-    return F.month(F.try_to_date(F.concat(_c(name), F.lit(" 1 2000")), F.lit("MMMM d yyyy")))
+    return F.month(F.try_to_date(F.concat(_c(name), F.lit(" 1 2000")), "MMMM d yyyy"))

@@ -57,3 +57,24 @@ def sql_avg_dec(x: str, in_scale: int = 4, out_scale: int = 2, type_out: str = "
     """``CAST(AVG(CAST(x AS DECIMAL(18,in_scale))) AS type_out)`` computed exactly."""
     units = f"CAST(SUM(CAST({x} AS DECIMAL(18,{in_scale}))) * {10 ** in_scale} AS HUGEINT)"
     return sql_div_round(units, f"(COUNT({x}) * {10 ** (in_scale - out_scale)})", out_scale, type_out)
+
+
+def sql_normalize(x: str) -> str:
+    """Oracle form of ``normalize_text``."""
+    s = f"upper(coalesce(CAST({x} AS VARCHAR), ''))"
+    s = (f"translate({s}, chr(9) || chr(10) || chr(13) || chr(160) || chr(8217) || '`' || '\".,;:()[]', "
+         f"'    ' || '''' || '''')")
+    for _ in range(4):
+        s = f"replace({s}, '  ', ' ')"
+    s = f"trim({s}, ' ')"
+    return f"(CASE WHEN {s} = '' THEN 'BLANK' ELSE {s} END)"
+
+
+def sql_strip(x: str) -> str:
+    """Oracle form of ``strip_all`` for ASCII white space and NBSP."""
+    return f"regexp_replace(CAST({x} AS VARCHAR), '^[\\s\\x{{00A0}}]+|[\\s\\x{{00A0}}]+$', '', 'g')"
+
+
+def sql_clean(x: str) -> str:
+    s = sql_strip(x)
+    return f"(CASE WHEN {s} IN ('', 'nan', 'NaN', 'None', 'NULL', 'null', 'N/A', 'n/a') THEN NULL ELSE {s} END)"
