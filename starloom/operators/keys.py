@@ -32,7 +32,7 @@ def dense_ids(df: DataFrame, order: Sequence[str], id_col: str = "id", start: in
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     mid = F.monotonically_increasing_id()
     tagged = ranged.select("*", F.shiftright(mid, _LOCAL_BITS).alias("__pid"),
-                           F.bitwise_and(mid, F.lit((1 << _LOCAL_BITS) - 1)).alias("__pos"))
+                           mid.bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)).alias("__pos"))
     counts = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     # one row per partition: the offset window is over n rows only
     offsets = counts.select("__pid", (F.sum("__n").over(
