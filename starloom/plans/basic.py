@@ -48,8 +48,9 @@ def range_guard_q(spark, sf_dir):
 
 
 # Banding over TRY_CONVERT(INT, text); '32.0'-style text -> Not Found.
-_AGE_TEXT = F.when(F.col("p_partkey") % 5 == 0, F.concat((F.col("p_size") + 20).cast("string"), F.lit(".0"))) \
-             .otherwise((F.col("p_size") + 20).cast("string"))
+def _age_text():
+    return F.when(F.col("p_partkey") % 5 == 0, F.concat((F.col("p_size") + 20).cast("string"), F.lit(".0"))) \
+            .otherwise((F.col("p_size") + 20).cast("string"))
 
 
 @register("band_case", oracle="""
@@ -73,7 +74,7 @@ FROM n
 """)
 def band_case(spark, sf_dir):
     p = read_table(spark, sf_dir, "part", "p_partkey", "p_size")
-    t = p.select("p_partkey", _AGE_TEXT.alias("age_text"))
+    t = p.select("p_partkey", _age_text().alias("age_text"))
     return t.select("p_partkey", "age_text", band("age_text").alias("age_band"))
 
 

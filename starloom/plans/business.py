@@ -37,12 +37,13 @@ def q6_ratio_to_report(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Q1: materialised aggregate (saved, then read back) + share texts.
 # ---------------------------------------------------------------------------
-Q1_MV = MaterializedAggregate(
-    keys=["c_mktsegment", "o_orderpriority", "l_returnflag"],
-    sums={"total_observations": F.lit(1),
-          "total_returned": flag(F.upper(F.trim(F.coalesce(F.col("l_returnflag"), F.lit("")))) == "R"),
-          "total_closed": flag(F.upper(F.trim(F.coalesce(F.col("l_linestatus"), F.lit("")))) == "F")},
-    count_col="record_count")
+def q1_matview() -> MaterializedAggregate:
+    return MaterializedAggregate(
+        keys=["c_mktsegment", "o_orderpriority", "l_returnflag"],
+        sums={"total_observations": F.lit(1),
+              "total_returned": flag(F.upper(F.trim(F.coalesce(F.col("l_returnflag"), F.lit("")))) == "R"),
+              "total_closed": flag(F.upper(F.trim(F.coalesce(F.col("l_linestatus"), F.lit("")))) == "F")},
+        count_col="record_count")
 
 
 def _year_range(col: str, year: int):
@@ -74,12 +75,13 @@ def q1_mv_shares(spark, sf_dir):
     facts = (li.filter(_year_range("l_shipdate", 1997))
              .join(o, li["l_orderkey"] == o["o_orderkey"])
              .join(c, F.col("o_custkey") == c["c_custkey"]))
-    path = Q1_MV.build(spark, facts, "mv_q1")
+    q1_mv = q1_matview()
+    path = q1_mv.build(spark, facts, "mv_q1")
     mv = spark.read.parquet(path)
-    out = mv.select(*Q1_MV.keys, *[F.col(n).cast("bigint").alias(n) for n in Q1_MV.sums])
+    out = mv.select(*q1_mv.keys, *[F.col(n).cast("bigint").alias(n) for n in q1_mv.sums])
     return reports.with_percent_texts(out, {"returned_share": ("total_returned", "total_observations"),
                                             "closed_share": ("total_closed", "total_observations")}) \
-        .orderBy(*Q1_MV.keys)
+        .orderBy(*q1_mv.keys)
 
 
 # ---------------------------------------------------------------------------

@@ -385,11 +385,12 @@ def dq_not_null(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Materialised aggregate built on one half and refreshed with the other.
 # ---------------------------------------------------------------------------
-LINE_MV = MaterializedAggregate(
-    keys=["l_returnflag", "l_linestatus"],
-    sums={"total_qty": F.col("l_quantity").cast("decimal(18,2)"),
-          "total_price": F.col("l_extendedprice").cast("decimal(18,2)"),
-          "discounted_lines": flag(F.col("l_discount") >= 0.05)})
+def line_matview() -> MaterializedAggregate:
+    return MaterializedAggregate(
+        keys=["l_returnflag", "l_linestatus"],
+        sums={"total_qty": F.col("l_quantity").cast("decimal(18,2)"),
+              "total_price": F.col("l_extendedprice").cast("decimal(18,2)"),
+              "discounted_lines": flag(F.col("l_discount") >= 0.05)})
 
 
 @register("mv_incremental", oracle="""
@@ -403,8 +404,9 @@ def mv_incremental(spark, sf_dir):
     cut = F.lit("1997-01-01").cast("timestamp_ntz")
     first = li.filter(F.col("l_shipdate") < cut)
     rest = li.filter((F.col("l_shipdate") >= cut) | F.col("l_shipdate").isNull())
-    path = LINE_MV.build(spark, first, "mv_lineitem")
-    path = LINE_MV.refresh(spark, path, rest, "mv_lineitem")
+    mv = line_matview()
+    path = mv.build(spark, first, "mv_lineitem")
+    path = mv.refresh(spark, path, rest, "mv_lineitem")
     out = spark.read.parquet(path)
     return out.withColumn("discounted_lines", F.col("discounted_lines").cast("bigint"))
 
