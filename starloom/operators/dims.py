@@ -29,8 +29,9 @@ def calendar(source: DataFrame, date_col: str) -> DataFrame:
 
 
 def year_keys(dim: DataFrame) -> DataFrame:
-    """``year -> MIN(date_key)``: the year key is the first date *seen*."""
-    return dim.groupBy("year").agg(F.min("date_key").alias("year_key"))
+    """``year -> MIN(date_key)``: the year key is the first date *seen*.
+    One row per calendar year, so it is broadcast to the fact side."""
+    return F.broadcast(dim.groupBy("year").agg(F.min("date_key").alias("year_key")))
 
 
 def hierarchy_dim(child: DataFrame, parent: DataFrame, child_fk: str, parent_pk: str,

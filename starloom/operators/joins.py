@@ -95,7 +95,9 @@ def period_start_join(df: DataFrame, dim_date: DataFrame, date_col: str, grain:
     """Attach the key of the first day of the period *as present in* ``dim_date``.
 
     Strict semantics of the source warehouse: a row whose month (quarter)
-    has no day-1 date in the date dimension is dropped (inner join).
+    has no day-1 date in the date dimension is dropped (inner join).  The
+    period starts hold at most one row per month of the calendar span, a
+    bound independent of the data volume, so they are broadcast.
     """
     d = F.col(date_col)
     if grain == "month":
@@ -108,4 +110,4 @@ def period_start_join(df: DataFrame, dim_date: DataFrame, date_col: str, grain:
         probe = df.withColumn("__y", F.year(d)).withColumn("__p", F.quarter(d))
     else:
         raise ValueError(f"unknown grain {grain!r}")
-    return probe.join(starts, ["__y", "__p"], "inner").drop("__y", "__p")
+    return probe.join(F.broadcast(starts), ["__y", "__p"], "inner").drop("__y", "__p")
