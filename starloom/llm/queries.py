@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import chat, sharding
+from starloom.llm import chat, decontam, sharding, simhash
 from starloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,23 @@ def op4_proportional_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.interleave(table(spark, sf_dir, "documents"), shards=24)
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                       F.lit(None).cast("int").alias("grown_shard"))
+
+
+# --- 3 near duplicates
+
+@query
+def op3_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents: 4-word shingles, links at 4 bits or fewer."""
+    out = simhash.groups(table(spark, sf_dir, "documents"), shingle=4, distance=4)
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+# --- 6 decontamination
+
+@query
+def op6_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verbatim benchmark windows of 13 words in every document."""
+    out = decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+                      "longest_words", "longest_item", "longest_at")
