@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import chat, decontam, sharding, simhash
+from starloom.llm import chat, decontam, sharding, simhash, tokenids, warc
 from starloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +88,33 @@ def op6_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
                       "longest_words", "longest_item", "longest_at")
+
+
+# --- 7 WARC
+
+@query
+def op7_warc_boundary_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A WARC record for every page, written and read back."""
+    out = warc.round_trip(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+_TWENTY = ", ".join(f"('0x' || substr(sha1(html), {k + 1}, 5))::BIGINT" for k in range(0, 40, 5))
+_CHARS = " || ".join(f"substr('{warc.BASE32}', CAST((d[{k + 1}] >> {s}) & 31 AS BIGINT) + 1, 1)" for k in range(8) for s in (15, 10, 5, 0))
+
+ORACLES["op7_warc_boundary_chain"] = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+g AS (SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, [{_TWENTY}] AS d, max(page_id) OVER (PARTITION BY html) AS last FROM p)
+SELECT page_id, payload_bytes, {_CHARS} AS payload_digest,
+       CASE WHEN last IS NOT NULL AND page_id IS DISTINCT FROM last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN last IS NOT NULL AND page_id IS DISTINCT FROM last THEN last END AS refers_to
+FROM g
+"""
+
+
+# --- 10 token ids
+
+@query
+def op10_simple8b_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents, written in Simple-8b blocks and read back."""
+    return tokenids.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
