@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import chat, decontam, sharding, simhash, tokenids, warc
+from starloom.llm import chat, decontam, piece_fst, sharding, simhash, tokenids, warc
 from starloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +20,14 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+# --- 1 SentencePiece
+
+@query
+def op1_sentencepiece_fst(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents by shortest paths, and whether they decode to the text."""
+    return piece_fst.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 # --- 2 chat formatting
 
 @query
