@@ -11,7 +11,9 @@ Files are Parquet tables of blocks, as Spark writes them to any store.
 
 from __future__ import annotations
 
+import json
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -111,18 +113,50 @@ def from_block(raw: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     return [x if k else None for x, k in zip(names.tolist(), known.tolist())], lengths.astype(np.int64), unpack(words, escapes, n)
 
 
+#: Signs that end a word as a token of their own when only letters stand before them.
+TAIL = b".,;:!?*$%#&|()-"
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letters that byte-level tokenizers write for bytes: printable ones as they are, the others from U+0100 on."""
+    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class WordIds(dict):
-    """A tokenizer's ids by word, as little-endian 32-bit bytes."""
+    """A tokenizer's ids by word, as little-endian 32-bit bytes.
+
+    Where the tokenizer normalises by NFC and lower case and takes a run of
+    letters as one unit, a word of lower-case letters goes straight to its
+    model, which gives the same ids.
+    """
 
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_str(spec)
+        self.model = self.tokenizer.model
+        parts = json.loads(spec)
+        steps = [x["type"] for x in (parts["normalizer"] or {}).get("normalizers", [])]
+        units = (parts["pre_tokenizer"] or {}).get("pretokenizers", [])
+        self.plain = (steps == ["NFC", "Replace", "Lowercase"] and [x["type"] for x in units] == ["Split", "ByteLevel"]
+                      and not units[1]["add_prefix_space"] and units[0]["pattern"].get("Regex", "").endswith("|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"))
+        self.letters = [_byte_letters()[b] for b in range(256)]
 
     def __missing__(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        self[word] = out = np.array(ids, "<u4").tobytes()
+        body = word.rstrip(TAIL)
+        text = body.decode()
+        if self.plain and text.isalpha() and (text.isascii() and text.islower() or text == text.lower() and unicodedata.is_normalized("NFC", text)):
+            if len(body) < len(word):
+                out = self[body] + self[word[len(body):]]
+            else:
+                units = text if text.isascii() else "".join([self.letters[b] for b in body])
+                out = np.array([t.id for t in self.model.tokenize(units)], "<u4").tobytes()
+        else:
+            out = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+        self[word] = out
         return out
 
     def text(self, raw: bytes) -> bytes:
