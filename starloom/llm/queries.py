@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import chat, decontam, piece_fst, sharding, simhash, tokenids, warc
+from starloom.llm import chat, decontam, fertility, lm_mix, piece_fst, sharding, simhash, tokenids, toxicity, warc
 from starloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,6 +87,17 @@ def op3_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+# --- 5 quality rules
+
+@query
+def op5_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts of all documents and the fertility bands' verdict."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = fertility.annotate(docs, public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return out.select("doc_id", *[F.col(f"__q_{c}").alias(c) for c in (
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "tokens", "fallback", "byte_tokens", "entropy")])
+
+
 # --- 6 decontamination
 
 @query
@@ -120,6 +131,25 @@ FROM g
 """
 
 
+# --- 8 toxicity
+
+@query
+def op8_gru_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from the labels of those that aren't held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = toxicity.annotate(docs, table(spark, sf_dir, "labels"), score="score")
+    return out.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+                      F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
+# --- 9 language-model scores
+
+@query
+def op9_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents under counts of those that aren't held out."""
+    return lm_mix.score(table(spark, sf_dir, "documents"))
+
+
 # --- 10 token ids
 
 @query
