@@ -1,4 +1,4 @@
-"""Join helpers: size-checked broadcast, null-safe keys, validity (as-of
+"""Join helpers: seed broadcast, null-safe keys, validity (as-of
 interval) joins, period-start joins and top-1-per-key lateral lookups."""
 
 from __future__ import annotations
@@ -8,21 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Default ceiling for an explicit broadcast: beyond this many rows the
-# join is left to the planner (AQE turns it into a broadcast at runtime when
-# the measured shuffle output is small, otherwise a sort-merge join runs).
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when it provably holds at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan
-    early), so it is bounded work even when the side turns out to be large.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
+from starloom.functions.dates import date_key
 
 def seed_broadcast(df: DataFrame) -> DataFrame:
     """Broadcast a seed relation built from fixed literal rows (constant size)."""
@@ -56,16 +42,24 @@ def validity_join(facts: DataFrame, versions: DataFrame, key: str, at: str,
     """Join each fact to the version of its key valid at ``at``.
 
     Equi join on the business key plus a range residual; an open end
-    (NULL) means "still valid".  Versions per key are few, so the residual is
-    evaluated over a small candidate set per key.
+    (NULL) means "still valid".  Both sides are split by month as well: a
+    version stands in each month of the facts' span that it covers, so a hot
+    key is one task's work for a month, not for all its history.
     """
-    v = versions.withColumnRenamed(key, "__vkey")
+    first = facts.select(F.min(F.col(at).cast("date"))).scalar()
+    last = facts.select(F.max(F.col(at).cast("date"))).scalar()
+    covered = versions.withColumn("__from", F.greatest(F.col(start).cast("date"), first)) \
+        .withColumn("__to", F.least(F.coalesce(F.col(end).cast("date"), last), last)).filter("__from <= __to")
+    v = covered.withColumn("__vmonth", F.explode(F.sequence(F.trunc("__from", "month"), F.trunc("__to", "month"), F.expr("interval 1 month")))) \
+        .drop("__from", "__to").withColumnRenamed(key, "__vkey")
+    f = facts.withColumn("__fmonth", F.trunc(F.col(at).cast("date"), "month"))
     cond = [
-        facts[key] == v["__vkey"],
-        facts[at] >= v[start],
-        facts[at] <= F.coalesce(v[end], F.lit("9999-12-31").cast("date")),
+        f[key] == v["__vkey"],
+        f["__fmonth"] == v["__vmonth"],
+        f[at] >= v[start],
+        f[at] <= F.coalesce(v[end], F.lit("9999-12-31").cast("date")),
     ]
-    return facts.join(v, cond, how).drop("__vkey")
+    return f.join(v, cond, how).drop("__vkey", "__vmonth", "__fmonth")
 
 
 def top1_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
@@ -91,23 +85,27 @@ def lateral_top1(outer: DataFrame, inner: DataFrame, outer_key: str, inner_key:
 
 
 def period_start_join(df: DataFrame, dim_date: DataFrame, date_col: str, grain: str = "month",
-                      key_name: str = "period_key") -> DataFrame:
+                      key_name: str = "period_key", calendar: str = "strict") -> DataFrame:
     """Attach the key of the first day of the period *as present in* ``dim_date``.
 
-    Strict semantics of the source warehouse: a row whose month (quarter)
-    has no day-1 date in the date dimension is dropped (inner join).  The
+    ``calendar="strict"`` is what the source warehouse does: a row whose
+    month (quarter) has no day-1 date in the date dimension is dropped (inner
+    join).  ``calendar="full"`` takes every first day as present and keeps
+    all rows with a date; ``dim_date`` isn't read then.  The
     period starts hold at most one row per month of the calendar span, a
     bound independent of the data volume, so they are broadcast.
     """
     d = F.col(date_col)
+    if grain not in ("month", "quarter") or calendar not in ("strict", "full"):
+        raise ValueError(f"unknown grain {grain!r} or calendar {calendar!r}")
+    if calendar == "full":
+        return df.filter(d.isNotNull()).withColumn(key_name, date_key(F.trunc(d, grain)))
     if grain == "month":
         starts = dim_date.filter(F.col("day") == 1).select(
             F.col("year").alias("__y"), F.col("month").alias("__p"), F.col("date_key").alias(key_name))
         probe = df.withColumn("__y", F.year(d)).withColumn("__p", F.month(d))
-    elif grain == "quarter":
+    else:
         starts = dim_date.filter((F.col("day") == 1) & F.col("month").isin(1, 4, 7, 10)).select(
             F.col("year").alias("__y"), F.col("quarter").alias("__p"), F.col("date_key").alias(key_name))
         probe = df.withColumn("__y", F.year(d)).withColumn("__p", F.quarter(d))
-    else:
-        raise ValueError(f"unknown grain {grain!r}")
     return probe.join(F.broadcast(starts), ["__y", "__p"], "inner").drop("__y", "__p")

@@ -2,10 +2,11 @@
 
 ``row_number()`` over an unpartitioned window moves every row into one
 task.  Instead the rows are range-partitioned and sorted on the ordering
-columns, each row gets its position inside its partition, and a tiny table
-of per-partition counts (one row per partition) turns positions into global
-ids.  The result equals the global rank in ``order`` wherever the range
-boundaries fall, so a retried task reproduces the same ids.
+columns, each row gets its position inside its partition, and that one
+ordering is written to the shared folder.  A tiny table of per-partition
+counts (one row per partition), taken from the written rows, turns
+positions into global ids.  Positions and counts so come from one range
+shuffle: planned twice, it would sample two sets of range bounds.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from starloom.session import scratch_path
+
 # monotonically_increasing_id(): partition id in the upper 31 bits, record
 # number within the partition in the lower 33 bits (documented layout).
 _LOCAL_BITS = 33
@@ -33,6 +36,9 @@ def dense_ids(df: DataFrame, order: Sequence[str], id_col: str = "id", start: in
     mid = F.monotonically_increasing_id()
     tagged = ranged.select("*", F.shiftright(mid, _LOCAL_BITS).alias("__pid"),
                            mid.bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)).alias("__pos"))
+    path = scratch_path(df.sparkSession, "dense_ids")
+    tagged.write.parquet(path)
+    tagged = df.sparkSession.read.schema(tagged.schema).parquet(path)
     counts = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     # one row per partition: the offset window is over n rows only
     offsets = counts.select("__pid", (F.sum("__n").over(

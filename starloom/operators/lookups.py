@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from starloom.functions.codes import canonical_code
 from starloom.functions.text import NOT_FOUND, normalize_text
-from starloom.operators.joins import seed_broadcast
 
 
 class DuplicateMapKey(ValueError):
@@ -72,20 +71,24 @@ class Resolution:
 
 
 def resolve(df: DataFrame, specs: Sequence[Resolution]) -> DataFrame:
-    """Resolve every attribute: code label, else map label, else fallback."""
+    """Resolve every attribute: code label, else map label, else fallback.
+
+    No side is hinted: literal seeds have exact statistics, so the planner
+    broadcasts them below its byte threshold, and larger maps are shuffled.
+    """
     out = df
     for i, sp in enumerate(specs):
         raw = F.col(sp.column)
         parts, tmp = [], []
         if sp.code_labels is not None:
             ck, cl = f"__code{i}", f"__clabel{i}"
-            labels = seed_broadcast(sp.code_labels.select(F.col("code").alias(ck), F.col("label").alias(cl)))
+            labels = sp.code_labels.select(F.col("code").alias(ck), F.col("label").alias(cl))
             out = out.withColumn(ck, canonical_code(raw)).join(labels, ck, "left")
             parts.append(F.col(cl))
             tmp += [ck, cl]
         if sp.text_map is not None:
             nk, ml = f"__norm{i}", f"__mlabel{i}"
-            labels = seed_broadcast(sp.text_map.select(F.col("raw_key").alias(nk), F.col("label").alias(ml)))
+            labels = sp.text_map.select(F.col("raw_key").alias(nk), F.col("label").alias(ml))
             out = out.withColumn(nk, sp.normalizer(raw)).join(labels, nk, "left")
             parts.append(F.col(ml))
             tmp += [nk, ml]

@@ -16,9 +16,6 @@ from pyspark.sql import functions as F
 
 from starloom.operators.joins import top1_per_key
 
-OPEN_END = "9999-12-31"
-
-
 def last_state_per_day(df: DataFrame, key: str, ts: str, tiebreak: str,
                        state_cols: Sequence[str], day_col: str = "state_date") -> DataFrame:
     """State of each key at the end of each day: the attributes of its last
@@ -36,11 +33,12 @@ def scd2_versions(states: DataFrame, key: str, date_col: str, attrs: Sequence[st
     A new version starts whenever the attribute tuple differs from the
     previous state of the key; it ends the day before the next version
     starts; the last version is open (NULL end) and current.  Same-day rows
-    are ordered by the attributes, so the result is deterministic.
+    are ordered by the attributes, so the result is deterministic.  NULL and
+    the empty text count as the same attribute value.
     """
     s = states.select(key, date_col, *attrs).distinct()
     w = Window.partitionBy(key).orderBy(F.col(date_col), *[F.col(a) for a in attrs])
-    tup = F.struct(*[F.col(a) for a in attrs])
+    tup = F.struct(*[F.coalesce(F.col(a).cast("string"), F.lit("")).alias(a) for a in attrs])
     marked = s.withColumn("__prev", F.lag(tup).over(w))
     changes = marked.filter(F.col("__prev").isNull() | ~F.col("__prev").eqNullSafe(tup)).drop("__prev")
     wv = Window.partitionBy(key).orderBy(F.col(date_col), *[F.col(a) for a in attrs])
@@ -62,11 +60,12 @@ def scd2_merge(dim: DataFrame, batch_states: DataFrame, key: str, date_col: str,
     New keys get their versions; for known keys, states not newer than the
     current version's start are ignored (re-running a batch is a no-op),
     changed states close the current version (end = new start - 1) and open
-    new ones; unchanged states add nothing.  Returns the full new dimension
+    new ones; unchanged states add nothing; states without a key are left
+    out.  Returns the full new dimension
     (write it to a new path, never over the one being read).
     """
     cur = dim.filter(F.col(current)).select(key, F.col(start).alias("__cur_start"))
-    fresh = (batch_states.join(cur, key, "left")
+    fresh = (batch_states.filter(F.col(key).isNotNull()).join(cur, key, "left")
              .filter(F.col("__cur_start").isNull() | (F.col(date_col) > F.col("__cur_start")))
              .select(key, date_col, *attrs))
     touched = fresh.select(key).distinct()

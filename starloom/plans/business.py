@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from starloom.functions import flag, month_number, safe_ratio, weighted_avg
 from starloom.operators import reports
 from starloom.operators.dims import dim_date
-from starloom.operators.joins import sized_broadcast
 from starloom.operators.matview import MaterializedAggregate
 from starloom.plans.dimensional import MONTHLY_SQL, QUARTER_SQL, YEARLY_SQL, monthly_fact_df, quarter_fact_df, yearly_fact_df
 from starloom.plans.registry import register, sql_div_round, sql_pct
@@ -159,7 +158,7 @@ FROM g
 """)
 def q4_conditional_shares(spark, sf_dir):
     li = read_table(spark, sf_dir, "lineitem", "l_partkey", "l_linestatus", "l_returnflag", "l_discount", "l_shipdate")
-    p = sized_broadcast(read_table(spark, sf_dir, "part", "p_partkey", "p_brand"))
+    p = read_table(spark, sf_dir, "part", "p_partkey", "p_brand")
     f = li.filter(_year_range("l_shipdate", 1997)).join(p, li["l_partkey"] == p["p_partkey"]) \
           .withColumn("year", F.year("l_shipdate"))
     g = reports.conditional_counts(f, ["year", "p_brand", "l_linestatus"], {
@@ -225,8 +224,8 @@ GROUP BY GROUPING SETS ((year, region_name), (year, region_name, nation_name))
 """)
 def q7_grouping_sets(spark, sf_dir):
     yf = yearly_fact_df(spark, sf_dir)
-    n = sized_broadcast(read_table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey"))
-    r = sized_broadcast(read_table(spark, sf_dir, "region", "r_regionkey", "r_name"))
+    n = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
+    r = read_table(spark, sf_dir, "region", "r_regionkey", "r_name")
     loc = n.join(r, n["n_regionkey"] == r["r_regionkey"]).select(
         "n_nationkey", F.col("r_name").alias("region_name"), F.col("n_name").alias("nation_name"))
     f = yf.join(loc, yf["c_nationkey"] == loc["n_nationkey"]) \

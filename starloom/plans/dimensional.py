@@ -9,7 +9,7 @@ from starloom.functions import decimal_avg, flag, not_found_default, row_hash
 from starloom.operators import dedup, quality
 from starloom.operators.conform import SourceSpec, add_column_if_absent, conform_columns, integrate
 from starloom.operators.dims import dim_date, hierarchy_dim, year_keys
-from starloom.operators.joins import period_start_join, sized_broadcast, validity_join
+from starloom.operators.joins import period_start_join, validity_join
 from starloom.operators.keys import dense_ids
 from starloom.operators.matview import MaterializedAggregate
 from starloom.operators.scd import (first_seen_combinations, lag_within_key, last_state_per_day,
@@ -224,8 +224,8 @@ def observation_fact(spark, sf_dir):
     li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey",
                     "l_shipdate", "l_returnflag").withColumn("ship_date", F.col("l_shipdate").cast("date"))
     dd = dim_date(li, "ship_date").select("date_key", F.col("full_date").alias("ship_date"))
-    s = sized_broadcast(read_table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey"))
-    p = sized_broadcast(read_table(spark, sf_dir, "part", "p_partkey", "p_brand"))
+    s = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
+    p = read_table(spark, sf_dir, "part", "p_partkey", "p_brand")
     f = li.join(dd, "ship_date").join(s, li["l_suppkey"] == s["s_suppkey"]).join(p, li["l_partkey"] == p["p_partkey"])
     return f.select("l_orderkey", "l_linenumber", "date_key", "s_nationkey", "p_brand",
                     F.lit(1).alias("observation_count"), "l_returnflag")
@@ -275,7 +275,7 @@ def monthly_fact(spark, sf_dir):
 def quarter_fact_df(spark, sf_dir):
     li = read_table(spark, sf_dir, "lineitem", "l_suppkey", "l_shipdate", "l_returnflag", "l_discount", "l_tax") \
         .withColumn("ship_date", F.col("l_shipdate").cast("date"))
-    s = sized_broadcast(read_table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey"))
+    s = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
     dd = dim_date(li, "ship_date")
     base = period_start_join(li.join(s, li["l_suppkey"] == s["s_suppkey"]), dd, "ship_date", "quarter", "quarter_key")
     return base.groupBy("quarter_key", "s_nationkey", "l_returnflag").agg(

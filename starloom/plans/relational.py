@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from starloom.functions import normalize_text, row_hash
 from starloom.operators import dedup
 from starloom.operators.dims import dim_date, year_keys
-from starloom.operators.joins import (lateral_top1, nullsafe_join, period_start_join, seed_broadcast,
-                                      sized_broadcast)
+from starloom.operators.joins import (lateral_top1, nullsafe_join, period_start_join, seed_broadcast)
 from starloom.operators.lookups import Resolution, assert_unique, build_map, resolve, seed_frame
 from starloom.plans.basic import PRIORITY_SEED
 from starloom.plans.registry import register, sql_normalize
@@ -38,8 +37,8 @@ GROUP BY r.r_name
 def star_join(spark, sf_dir):
     o = read_table(spark, sf_dir, "orders", "o_custkey", "o_totalprice")
     c = read_table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
-    n = sized_broadcast(read_table(spark, sf_dir, "nation", "n_nationkey", "n_regionkey"))
-    r = sized_broadcast(read_table(spark, sf_dir, "region", "r_regionkey", "r_name"))
+    n = read_table(spark, sf_dir, "nation", "n_nationkey", "n_regionkey")
+    r = read_table(spark, sf_dir, "region", "r_regionkey", "r_name")
     cn = c.join(n, c["c_nationkey"] == n["n_nationkey"]).join(r, F.col("n_regionkey") == r["r_regionkey"])
     j = o.join(cn.select("c_custkey", "r_name"), o["o_custkey"] == cn["c_custkey"])
     return j.groupBy("r_name").agg(F.count(F.lit(1)).alias("order_count"),
@@ -151,8 +150,8 @@ WHERE n.n_nationkey IS NULL OR r.r_regionkey IS NULL
 """)
 def hierarchy_validate(spark, sf_dir):
     c = read_table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
-    n = sized_broadcast(read_table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey"))
-    r = sized_broadcast(read_table(spark, sf_dir, "region", "r_regionkey", "r_name"))
+    n = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
+    r = read_table(spark, sf_dir, "region", "r_regionkey", "r_name")
     j = c.join(n, c["c_nationkey"] == n["n_nationkey"], "left").join(r, F.col("n_regionkey") == r["r_regionkey"], "left")
     return j.filter(F.col("n_nationkey").isNull() | F.col("r_regionkey").isNull()) \
             .select("c_custkey", "c_nationkey", "n_name", "r_name")

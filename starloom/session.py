@@ -45,7 +45,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and written tables.
 
     Reads ``spark.checkpoint.dir`` from the session.  Only when it is unset
-    (as in tests and local runs) a private folder is created and registered.
+    in a local run (as in tests) a private folder is created and registered;
+    on a cluster an unset folder is an error, since executors share no local one.
     """
     sc = spark.sparkContext
     configured = sc.getCheckpointDir()
@@ -54,6 +55,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         if configured:
             sc.setCheckpointDir(configured)
     if not configured:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="starloom-ckpt-")
         sc.setCheckpointDir(configured)
         configured = sc.getCheckpointDir() or configured

@@ -25,6 +25,12 @@ def read_csv_text(spark: SparkSession, path: str, columns: Sequence[str] | None
     return reader.csv(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in the store that its scheme names."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(found)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """CSV with a header row and no index column."""
     df.write.mode(mode).option("header", True).csv(path)

@@ -120,13 +120,26 @@ def schema_of(layout: Layout) -> StructType:
     return StructType([StructField(v.name, DoubleType() if v.numeric else StringType()) for v in layout.variables])
 
 
+def record_count(path: str, layout: Layout) -> int:
+    """Observations in the file: blank padding in its last 80 bytes holds none, however the file is split."""
+    n = (layout.file_size - layout.obs_start) // layout.obs_length
+    tail = max(layout.obs_start, layout.file_size - RECORD)
+    with open(local_path(path), "rb") as fh:
+        fh.seek(tail)
+        last = fh.read()
+    blank_from = tail + len(last.rstrip(b" "))
+    while n and layout.obs_start + (n - 1) * layout.obs_length >= blank_from:
+        n -= 1
+    return n
+
+
 class XportReader(DataSourceReader):
     def __init__(self, path: str, layout: Layout, target_bytes: int, encoding: str):
         self.path, self.layout, self.target_bytes, self.encoding = path, layout, target_bytes, encoding
 
     def partitions(self):
         lay = self.layout
-        nrec = (lay.file_size - lay.obs_start) // lay.obs_length
+        nrec = record_count(self.path, lay)
         per = max(1, self.target_bytes // lay.obs_length)
         return [_Range(lay.obs_start + i * lay.obs_length,
                        lay.obs_start + min(nrec, i + per) * lay.obs_length)
@@ -138,13 +151,6 @@ class XportReader(DataSourceReader):
             fh.seek(partition.start)
             buf = fh.read(partition.end - partition.start)
         rows = np.frombuffer(buf, dtype=np.uint8).reshape(-1, lay.obs_length)
-        if partition.end + lay.obs_length > lay.file_size:
-            # trailing blank padding of the last 80-byte record is not an observation
-            blank = (rows == 0x20).all(axis=1)
-            keep = len(rows)
-            while keep and blank[keep - 1]:
-                keep -= 1
-            rows = rows[:keep]
         cols = {}
         for v in lay.variables:
             field = rows[:, v.position:v.position + v.length]
@@ -154,8 +160,9 @@ class XportReader(DataSourceReader):
                 vals = ibm_to_double(full)
                 cols[v.name] = pa.array(vals, mask=np.isnan(vals), type=pa.float64())
             else:
-                text = [bytes(r).rstrip(b" \x00").decode(self.encoding) for r in field]
-                cols[v.name] = pa.array(text, type=pa.string())
+                # numpy drops the zero bytes at the end, the strip the blanks before them
+                text = np.char.rstrip(np.ascontiguousarray(field).view(f"S{v.length}").ravel(), b" \x00")
+                cols[v.name] = pa.array(np.char.decode(text, self.encoding).tolist(), type=pa.string())
         yield pa.RecordBatch.from_pydict(cols)
 
 

@@ -20,14 +20,12 @@ from pyspark.sql.types import StructType
 from starloom.functions.hashing import row_hash
 from starloom.operators import dedup
 from starloom.session import checkpoint_root
-from starloom.sources.files import append_table
+from starloom.sources.files import append_table, path_exists
 
 
 def _stored_hashes(spark: SparkSession, target: str, key: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(target).select(key)
-    except Exception:  # no table yet: everything is new
-        return None
+    # no table yet: everything is new; any other failure to read stays one
+    return spark.read.parquet(target).select(key) if path_exists(spark, target) else None
 
 
 def delta_batch(spark: SparkSession, batch: DataFrame, target: str,

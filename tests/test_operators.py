@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from starloom.operators import dedup, quality, reports
 from starloom.operators.conform import SourceSpec, conform_columns, integrate
 from starloom.operators.dims import dim_date
-from starloom.operators.joins import nullsafe_join, period_start_join, sized_broadcast, validity_join
+from starloom.operators.joins import nullsafe_join, period_start_join, validity_join
 from starloom.operators.keys import dense_ids, next_start
 from starloom.operators.lookups import DuplicateMapKey, Resolution, assert_unique, build_map, resolve, seed_frame
 from starloom.operators.matview import MaterializedAggregate
@@ -175,9 +175,6 @@ def test_quality_checks(spark):
     assert rows(quality.orphans(df, parent, ["k"], ["pk"]), "k") == [(2, None)]
 
 
-def test_first_seen_and_sized_broadcast(spark):
+def test_first_seen_combinations(spark):
     df = spark.createDataFrame([("a", None), ("a", dt.date(2024, 1, 2)), ("b", dt.date(2024, 1, 3))], "x string, d date")
     assert rows(first_seen_combinations(df, ["x"], "d"), "x") == [("a", dt.date(1900, 1, 1)), ("b", dt.date(2024, 1, 3))]
-    big = spark.range(100)
-    assert sized_broadcast(big, max_rows=10) is big          # too large: left to the planner
-    assert sized_broadcast(big, max_rows=100) is not big     # bounded: broadcast hint added

@@ -3,11 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from starloom.plans import ORACLES, QUERIES, load_all
 from tests.conftest import SMALL
 from tools.compare import compare, duck
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+load_all()  # the training-data queries have tests of their own
 
 
 @pytest.fixture(scope="module")
