@@ -374,8 +374,6 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", parts: in
                     held, size = {}, 0
         yield from pass_on()
 
-    # a group's texts come from all tasks: bring them together first, then take their distinct words
-    dealt = store(dealt.repartition(F.col("grp")), "dealt")
     needed = dealt.select("grp", "raw").mapInArrow(distinct_words, "grp long, word binary").distinct()
     known = needed.join(words, "word").groupBy("grp").agg(F.collect_list(F.struct("word", "n")).alias("known"))
     known = known.withColumnRenamed("grp", "k_grp")
