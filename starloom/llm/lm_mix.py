@@ -17,14 +17,16 @@ are looked up once for each distinct unit.  Only the mixing runs bit by bit.
 Weights begin anew every ``SEGMENT`` bits, which lets many segments be mixed
 side by side as arrays.  The score is still the logarithm of a probability.
 
-The corpus' counts come from all training texts.  Texts are dealt into
-groups of a few megabytes; the word counts that a group needs are joined to
-its distinct words, not to every word.
+The corpus' counts come from all training texts.  Texts are scored where
+they are read, in chunks of a few megabytes, and never shuffled.  A chunk's
+distinct words, in one row for each bucket of words, are what meets the
+word counts; counts go back to the chunk as arrays.
 """
 
 from __future__ import annotations
 
 import heapq
+import uuid
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -33,6 +35,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from starloom.llm.common import bytes_of, pieces, small_batches, store
 
@@ -45,17 +49,21 @@ SLOT_BITS = (16, 18, 18, 21)
 TABLES = np.cumsum([0, *(1 << b for b in SLOT_BITS)])
 ORDERS = len(SLOT_BITS)
 SEGMENT = 1024
-#: Segments mixed side by side, bytes of text worked on at once, and slots in one row of counts.
+#: Segments mixed side by side, bits of each fetched together, bits
+#: hashed together, bytes of text worked on at once, and slots in one row of counts.
 LANES = 2560
-PIECE = 1 << 20
+STEPS = 64
+NEAR = 1 << 14
+PIECE = 2 << 20
 BLOCK = 1 << 14
-#: Bytes of text in a group, and groups at least.
-GROUP_BYTES = 4 << 20
-GROUPS = 64
+#: Bytes of text in a chunk, buckets of words at least, distinct words in a bucket, and words asked of one group of a bucket.
+CHUNK = 8 << 20
+BUCKETS = 16
+BUCKET_WORDS = 200_000
+ASKED_WORDS = 1_000_000
 #: First weight of each predictor, learning rate, and the counts that part the gates.
 WEIGHTS, RATE, SEEN = (0.0, 0.1, 0.3, 0.7), 0.02, (1, 30)
-#: Words held in a task before they are passed on.
-HELD_WORDS = 200_000
+ROOT, SUM = float(np.sqrt(RATE)), np.ones(ORDERS, np.float32)
 
 
 def held_out(doc_id: Column, parts: int = 7, part: int = 2) -> Column:
@@ -147,16 +155,18 @@ def slots(symbols: np.ndarray, sizes: np.ndarray, place: np.ndarray, node: np.nd
         last.append(np.where(depth >= k, shifted, np.uint64(0)))
     two = last[0] * np.uint64(300) + last[1]
     contexts = (last[0], two * _ODD, (two * np.uint64(300) + last[2] + np.uint64(7)) * _ODD, (_prefixes(symbols, starts, sizes)[0] + np.uint64(77)) * _ODD)
-    step = (node.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
+    step = (np.arange(256, dtype=np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
     out = np.empty((len(place), ORDERS), np.int32)
-    for i, (context, bits) in enumerate(zip(contexts, SLOT_BITS)):
-        mixed = context[place]
-        mixed += step
-        mixed ^= mixed >> np.uint64(29)
-        mixed *= _ODD
-        mixed >>= np.uint64(64 - bits)
-        out[:, i] = mixed
-        out[:, i] += TABLES[i]
+    for lo in range(0, len(place), NEAR):  # few enough at once to stay near the processor
+        these, steps = place[lo:lo + NEAR], step[node[lo:lo + NEAR]]
+        for i, (context, bits) in enumerate(zip(contexts, SLOT_BITS)):
+            mixed = context.take(these)
+            mixed += steps
+            mixed ^= mixed >> np.uint64(29)
+            mixed *= _ODD
+            mixed >>= np.uint64(64 - bits)
+            mixed += np.uint64(TABLES[i])
+            out[lo:lo + NEAR, i] = mixed
     return out
 
 
@@ -266,14 +276,19 @@ class Model:
         found, own, which, _ = distinct(symbols, starts, sizes)
         place, node, bit = self.code.spell(found)
         at = slots(found, own, place, node)
-        odds, gate = self.odds[at], self.gate[at[:, -1]].astype(np.int64)
+        odds, gate = np.empty(at.shape, np.float32), self.gate.take(at[:, -1])
+        for lo in range(0, len(at), NEAR):
+            odds[lo:lo + NEAR] = self.odds.take(at[lo:lo + NEAR])
+        # signed by the bit that comes, so that a greater sum is a better guess; the rate's root in the odds stands for the rate
+        odds *= np.where(bit, ROOT, -ROOT).astype(np.float32)[:, None]
         # the distinct units' bits lie behind one another; a text's bits are ranges of them
         per_symbol = self.code.sizes[found]
         unit_bits = np.add.reduceat(per_symbol, np.cumsum(own) - own)
         first = np.cumsum(unit_bits) - unit_bits
         each = unit_bits[which]
         before = np.concatenate(([0], np.cumsum(each)))
-        row = (np.arange(before[-1]) + np.repeat(first[which] - before[:-1], each)).astype(np.int32)
+        row = np.arange(before[-1], dtype=np.int32)
+        row += np.repeat((first[which] - before[:-1]).astype(np.int32), each)
         stop = before[until]
         begin = np.concatenate(([0], stop[:-1]))
         segments = -(-(stop - begin) // SEGMENT)
@@ -283,41 +298,43 @@ class Model:
         order = np.argsort(-size, kind="stable")  # long segments first
         cost = np.zeros(len(start))
         for lanes in np.array_split(order, -(-len(order) // LANES)):
-            cost[lanes] = self._mix(odds, gate, bit, row, start[lanes], size[lanes])
+            cost[lanes] = self._mix(odds, gate, row, start[lanes], size[lanes])
         return np.bincount(owner, weights=cost, minlength=len(texts))
 
     @staticmethod
-    def _mix(odds: np.ndarray, gate: np.ndarray, bit: np.ndarray, row: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    def _mix(odds: np.ndarray, gate: np.ndarray, row: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Bits of segments that run side by side; ``size`` falls."""
-        lanes, steps = len(start), int(size[0])
-        at = row[np.minimum(start + np.arange(steps)[:, None], len(row) - 1)]
+        lanes, steps, gates = len(start), int(size[0]), len(SEEN) + 1
         # a bit's four numbers move as one 16-byte value
-        every = odds.view(np.complex128).ravel()[at]
-        ones = bit[at].astype(np.float32)
-        pick = gate[at] * lanes + np.arange(lanes)
-        weights = np.tile(np.array(WEIGHTS, np.float32), ((len(SEEN) + 1) * lanes, 1)).view(np.complex128).ravel()
-        chances = np.ones((steps, lanes), np.float32)
+        moved = odds.view(np.complex128).ravel()
+        weights = np.tile((np.array(WEIGHTS) / ROOT).astype(np.float32), (gates * lanes, 1)).view(np.complex128).ravel()
+        own = np.arange(0, gates * lanes, gates)
         live = np.searchsorted(-size, -np.arange(steps), side="left")
+        out = np.zeros(lanes)
         with np.errstate(over="ignore"):  # a chance of 0, which the floor below lifts
-            for t, n in enumerate(live.tolist()):  # the first n segments have a bit t
-                x, chosen, one = every[t, :n].view(np.float32).reshape(n, ORDERS), pick[t, :n], ones[t, :n]
-                w = weights.take(chosen).view(np.float32).reshape(n, ORDERS)
-                off = np.einsum("ij,ij->i", w, x)
-                np.negative(off, out=off)
-                np.exp(off, out=off)
-                off += 1
-                np.reciprocal(off, out=off)
-                np.subtract(one, off, out=off)
-                chances[t, :n] = off
-                off *= RATE
-                x = x * off[:, None]
-                x += w
-                weights[chosen] = x.view(np.complex128).ravel()
-        np.abs(chances, out=chances)
-        np.subtract(1, chances, out=chances)
-        for t, n in enumerate(live.tolist()):
-            chances[t, n:] = 1
-        return -np.log2(np.maximum(chances, 1e-9)).sum(0, dtype=np.float64)
+            for t in range(0, steps, STEPS):
+                most = int(live[t])
+                # a segment's bits lie near one another, so they are fetched segment by segment and then turned
+                at = row.take(start[:most, None] + np.arange(t, min(t + STEPS, steps)), mode="clip")
+                every, pick = np.ascontiguousarray(moved.take(at).T), gate.take(at).T + own[:most]
+                missed = np.zeros(every.shape, np.float32)
+                for x, chosen, miss, n in zip(every, pick, missed, live[t:t + STEPS].tolist()):  # the first n segments have this bit
+                    x, chosen = x[:n].view(np.float32), chosen[:n]
+                    w = weights.take(chosen).view(np.float32)
+                    moves = w * x
+                    off = np.dot(moves.reshape(n, ORDERS), SUM)
+                    np.exp(off, out=off)
+                    off += 1
+                    np.reciprocal(off, out=miss[:n])
+                    for i in range(ORDERS):
+                        moves[i::ORDERS] = miss[:n]
+                    moves *= x
+                    moves += w
+                    weights[chosen] = moves.view(np.complex128)
+                np.subtract(1, missed, out=missed)
+                np.maximum(missed, 1e-9, out=missed)
+                out[:most] -= np.log2(missed, out=missed).sum(0, dtype=np.float64)
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -325,6 +342,77 @@ def _model(shared) -> Model:
     return Model(*shared.value)
 
 
+def _scored(rows: DataFrame, kind: T.DataType, model, buckets: int) -> DataFrame:
+    """A row for each chunk of texts (bucket -1: its documents with their bits, and how often each has which of the chunk's words)
+    and one for each chunk and bucket (the chunk's distinct words in it, blank-separated).
+
+    Words are numbered by bucket, and in a bucket as they stand in its row.  The chunk's name is drawn, so the rows must be stored before use.
+    """
+    doc_kind = to_arrow_type(kind)
+    docs = pa.struct([("doc_id", doc_kind), ("held_out", pa.bool_()), ("bits", pa.float64()), ("size", pa.int64()), ("words", pa.int32())])
+    shape = pa.schema([("chunk", pa.string()), ("bucket", pa.int32()), ("n", pa.int64()), ("asked", pa.binary()), ("docs", pa.list_(docs)), ("pairs", pa.binary())])
+
+    def chunk(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        held = pa.Table.from_batches(parts)
+        raws = bytes_of(held["raw"])
+        number: dict[bytes, int] = {}
+        own = [np.unique(np.array([number.setdefault(w, len(number)) for w in raw.lower().split()], np.int64), return_counts=True) for raw in raws]
+        words = list(number)
+        bucket = np.array([zlib.crc32(w) for w in words], np.int64) % buckets
+        order = np.argsort(bucket, kind="stable")
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        at, times = [], []
+        for w, n in own:
+            by_place = np.argsort(place[w])
+            at.append(place[w][by_place])
+            times.append(n[by_place])
+        pairs = np.stack((np.diff(np.concatenate(at), prepend=0), np.concatenate(times))).astype(np.int32)
+        used, first = np.unique(bucket[order], return_index=True)
+        asked = [[words[i] for i in part.tolist()] for part in np.split(order, first[1:])] if len(used) else []
+        name, more = uuid.uuid4().hex, len(used)
+        columns = [held["doc_id"].to_pylist(), held["held_out"].to_pylist(), _model(model).bits(raws).tolist(), [len(x) for x in raws], [len(w) for w, _ in own]]
+        return pa.RecordBatch.from_arrays([
+            pa.array([name] * (more + 1)), pa.array([-1, *used.tolist()], pa.int32()), pa.array([0, *map(len, asked)], pa.int64()),
+            pa.array([None, *map(b" ".join, asked)], pa.binary()),
+            pa.array([[dict(zip(docs.names, r)) for r in zip(*columns)], *[None] * more], pa.list_(docs)),
+            pa.array([zlib.compress(pairs.tobytes(), 1), *[None] * more], pa.binary())], schema=shape)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size = [], 0
+        for part in pieces(batches, "raw"):
+            parts.append(part)
+            size += part.nbytes
+            if size >= CHUNK:
+                yield chunk(parts)
+                parts, size = [], 0
+        if parts:
+            yield chunk(parts)
+
+    return rows.mapInArrow(run, f"chunk string, bucket int, n long, asked binary, docs array<struct<doc_id:{kind.simpleString()},held_out:boolean,bits:double,size:bigint,words:int>>, pairs binary")
+
+
+def _asked_counts(scored: DataFrame, words: DataFrame, buckets: int) -> DataFrame:
+    """``chunk, bucket, counts``: the count of each word that a chunk asks for, in its row's order.
+
+    A bucket holds a bounded number of distinct words.  What all chunks ask
+    of it grows with the corpus, so each bucket's counts go to as many
+    groups as keep the words asked of one group bounded, too.
+    """
+    asked = scored.filter("bucket >= 0").select("chunk", "bucket", "n", "asked")
+    total = asked.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    copies = max(1, -(-total // (buckets * ASKED_WORDS)))
+    asked = asked.withColumn("copy", F.pmod(F.xxhash64("chunk"), F.lit(copies)).cast("int"))
+    held = words.select((F.crc32("word") % buckets).cast("int").alias("h_bucket"), F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("h_copy"), "word", "n")
+
+    def look_up(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        count = dict(zip(right["word"].to_pylist(), right["n"].to_pylist()))
+        found = [np.array([count.get(w, 0) for w in x.split(b" ")], np.int64) for x in left["asked"].to_pylist()]
+        return pa.table({"chunk": left["chunk"], "bucket": left["bucket"], "counts": pa.array([zlib.compress(x.tobytes(), 1) for x in found], pa.binary())})
+
+    return asked.groupBy("bucket", "copy").cogroup(held.groupBy("h_bucket", "h_copy")).applyInArrow(look_up, "chunk string, bucket int, counts binary")
+
+
 def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", parts: int = 7, part: int = 2) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte`` of every row.
 
@@ -350,50 +438,28 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", parts: in
     texts = byte_counts[END]  # one end for each training text
     train_tokens, distinct_tokens = sums["n"] + texts, sums["v"] + (texts > 0)
 
-    # groups of a few megabytes, by the row's hash
-    total = rows.agg(F.coalesce(F.sum(F.octet_length("raw")), F.lit(0)).alias("n")).first()["n"]
-    groups = max(GROUPS, -(-total // GROUP_BYTES))
-    dealt = rows.withColumn("grp", F.pmod(F.xxhash64("doc_id", "raw"), F.lit(groups)))
-
-    def distinct_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, set[bytes]] = {}
-        size = 0
-
-        def pass_on() -> Iterator[pa.RecordBatch]:
-            for g, ws in held.items():
-                yield pa.RecordBatch.from_arrays([pa.array([g] * len(ws), pa.int64()), pa.array(list(ws), pa.binary())], ["grp", "word"])
-
-        for batch in batches:
-            for g, raw in zip(batch.column(0).to_pylist(), bytes_of(batch.column(1))):
-                own = held.setdefault(g, set())
-                size -= len(own)
-                own.update(raw.lower().split())
-                size += len(own)
-                if size > HELD_WORDS:
-                    yield from pass_on()
-                    held, size = {}, 0
-        yield from pass_on()
-
-    needed = dealt.select("grp", "raw").mapInArrow(distinct_words, "grp long, word binary").distinct()
-    known = needed.join(words, "word").groupBy("grp").agg(F.collect_list(F.struct("word", "n")).alias("known"))
-    known = known.withColumnRenamed("grp", "k_grp")
+    buckets = max(BUCKETS, -(-sums["v"] // BUCKET_WORDS))
+    kind = rows.schema["doc_id"].dataType
+    scored = store(_scored(rows, kind, model, buckets), "scored_chunks")
+    counts = _asked_counts(scored, words, buckets)
 
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        pairs = right["known"].combine_chunks().flatten() if right.num_rows else None
-        count = dict(zip(pairs.field("word").to_pylist(), pairs.field("n").to_pylist())) if pairs is not None and len(pairs) else {}
-        raws = [x or b"" for x in left["raw"].to_pylist()]
-        bits = _model(model).bits(raws)
-        n_tokens, n_known, base = [], [], []
-        for raw in raws:
-            own = np.array([count.get(w, 0) for w in raw.lower().split()] + [texts], np.float64)
-            n_tokens.append(len(own))
-            n_known.append(int((own > 0).sum()))
-            base.append(float(np.log10(own + 1).sum() - len(own) * np.log10(train_tokens + distinct_tokens + 1)))
-        return pa.table({"doc_id": left["doc_id"], "held_out": left["held_out"], "n_tokens": pa.array(n_tokens, pa.int64()),
-                         "n_known": pa.array(n_known, pa.int64()), "train_tokens": pa.array([train_tokens] * len(raws), pa.int64()),
-                         "base_score": pa.array(base, pa.float64()), "score": pa.array(-bits * np.log10(2), pa.float64()),
-                         "bits_per_byte": pa.array([b / len(x) if x else None for b, x in zip(bits.tolist(), raws)], pa.float64())})
-
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return dealt.groupBy("grp").cogroup(known.groupBy("k_grp")).applyInArrow(
-        run, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double")
+        docs = left["docs"].combine_chunks().flatten()
+        found = sorted(zip(right["bucket"].to_pylist(), right["counts"].to_pylist()))
+        count = np.frombuffer(b"".join([zlib.decompress(x) for _, x in found]), np.int64)
+        step, times = np.frombuffer(zlib.decompress(left["pairs"][0].as_py()), np.int32).reshape(2, -1)
+        word, sizes = np.cumsum(step, dtype=np.int64), docs.field("words").to_numpy()
+        owner = np.repeat(np.arange(len(docs)), sizes)
+        add_up = lambda x: np.bincount(owner, weights=x, minlength=len(docs))
+        n_tokens = add_up(times) + 1  # and the end
+        n_known = add_up(times * (count[word] > 0)) + (texts > 0)
+        base = add_up(times * np.log10(count[word] + 1.0)) + np.log10(texts + 1) - n_tokens * np.log10(train_tokens + distinct_tokens + 1)
+        bits, size = docs.field("bits").to_numpy(), docs.field("size").to_numpy()
+        return pa.table({"doc_id": docs.field("doc_id"), "held_out": docs.field("held_out"), "n_tokens": n_tokens.astype(np.int64),
+                         "n_known": n_known.astype(np.int64), "train_tokens": np.full(len(docs), train_tokens, np.int64),
+                         "base_score": base, "score": -bits * np.log10(2),
+                         "bits_per_byte": pa.array([b / n if n else None for b, n in zip(bits.tolist(), size.tolist())], pa.float64())})
+
+    chunks = scored.filter("bucket < 0").select("chunk", "docs", "pairs")
+    return chunks.groupBy("chunk").cogroup(counts.groupBy("chunk")).applyInArrow(
+        run, f"doc_id {kind.simpleString()}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double")
