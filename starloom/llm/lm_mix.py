@@ -182,12 +182,25 @@ def _small(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
         yield first, texts[first:]
 
 
+def _together(batches: Iterable[pa.RecordBatch], least: int) -> Iterator[pa.Table]:
+    """Rows of at least ``least`` bytes together; the last may be fewer."""
+    parts, size = [], 0
+    for part in pieces(batches, "raw"):
+        parts.append(part)
+        size += part.nbytes
+        if size >= least:
+            yield pa.Table.from_batches(parts)
+            parts, size = [], 0
+    if parts:
+        yield pa.Table.from_batches(parts)
+
+
 def _unit_counts(rows: DataFrame) -> DataFrame:
     """``unit, n`` of the units of all rows."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "raw"):
-            symbols, starts, sizes, _ = units(bytes_of(batch.column(0)))
+        for held in _together(batches, PIECE):
+            symbols, starts, sizes, _ = units(bytes_of(held["raw"]))
             found, own, _, counts = distinct(symbols, starts, sizes)
             offsets = np.concatenate(([0], np.cumsum(own))).astype(np.int32)
             words = pa.Array.from_buffers(pa.binary(), len(own), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(found.tobytes())])
@@ -333,8 +346,9 @@ class Model:
                     weights[chosen] = moves.view(np.complex128)
                 np.subtract(1, missed, out=missed)
                 np.maximum(missed, 1e-9, out=missed)
-                out[:most] -= np.log2(missed, out=missed).sum(0, dtype=np.float64)
-        return out
+                four = np.multiply.reduceat(missed, np.arange(0, len(missed), 4))  # a product of four stays above float's least
+                out[:most] -= np.log(four, out=four).sum(0, dtype=np.float64)
+        return out / np.log(2)
 
 
 @lru_cache(maxsize=2)
@@ -352,42 +366,30 @@ def _scored(rows: DataFrame, kind: T.DataType, model, buckets: int) -> DataFrame
     docs = pa.struct([("doc_id", doc_kind), ("held_out", pa.bool_()), ("bits", pa.float64()), ("size", pa.int64()), ("words", pa.int32())])
     shape = pa.schema([("chunk", pa.string()), ("bucket", pa.int32()), ("n", pa.int64()), ("asked", pa.binary()), ("docs", pa.list_(docs)), ("pairs", pa.binary())])
 
-    def chunk(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-        held = pa.Table.from_batches(parts)
+    def chunk(held: pa.Table) -> pa.RecordBatch:
         raws = bytes_of(held["raw"])
         number: dict[bytes, int] = {}
-        own = [np.unique(np.array([number.setdefault(w, len(number)) for w in raw.lower().split()], np.int64), return_counts=True) for raw in raws]
+        own = [np.array([number.setdefault(w, len(number)) for w in raw.lower().split()], np.int64) for raw in raws]
         words = list(number)
         bucket = np.array([zlib.crc32(w) for w in words], np.int64) % buckets
         order = np.argsort(bucket, kind="stable")
         place = np.empty_like(order)
         place[order] = np.arange(len(order))
-        at, times = [], []
-        for w, n in own:
-            by_place = np.argsort(place[w])
-            at.append(place[w][by_place])
-            times.append(n[by_place])
+        at, times = zip(*(np.unique(place[w], return_counts=True) for w in own))
         pairs = np.stack((np.diff(np.concatenate(at), prepend=0), np.concatenate(times))).astype(np.int32)
         used, first = np.unique(bucket[order], return_index=True)
         asked = [[words[i] for i in part.tolist()] for part in np.split(order, first[1:])] if len(used) else []
         name, more = uuid.uuid4().hex, len(used)
-        columns = [held["doc_id"].to_pylist(), held["held_out"].to_pylist(), _model(model).bits(raws).tolist(), [len(x) for x in raws], [len(w) for w, _ in own]]
+        columns = [held["doc_id"].to_pylist(), held["held_out"].to_pylist(), _model(model).bits(raws).tolist(), [len(x) for x in raws], [len(w) for w in at]]
         return pa.RecordBatch.from_arrays([
             pa.array([name] * (more + 1)), pa.array([-1, *used.tolist()], pa.int32()), pa.array([0, *map(len, asked)], pa.int64()),
             pa.array([None, *map(b" ".join, asked)], pa.binary()),
             pa.array([[dict(zip(docs.names, r)) for r in zip(*columns)], *[None] * more], pa.list_(docs)),
-            pa.array([zlib.compress(pairs.tobytes(), 1), *[None] * more], pa.binary())], schema=shape)
+            pa.array([pairs.tobytes(), *[None] * more], pa.binary())], schema=shape)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, size = [], 0
-        for part in pieces(batches, "raw"):
-            parts.append(part)
-            size += part.nbytes
-            if size >= CHUNK:
-                yield chunk(parts)
-                parts, size = [], 0
-        if parts:
-            yield chunk(parts)
+        for held in _together(batches, CHUNK):
+            yield chunk(held)
 
     return rows.mapInArrow(run, f"chunk string, bucket int, n long, asked binary, docs array<struct<doc_id:{kind.simpleString()},held_out:boolean,bits:double,size:bigint,words:int>>, pairs binary")
 
@@ -408,7 +410,7 @@ def _asked_counts(scored: DataFrame, words: DataFrame, buckets: int) -> DataFram
     def look_up(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         count = dict(zip(right["word"].to_pylist(), right["n"].to_pylist()))
         found = [np.array([count.get(w, 0) for w in x.split(b" ")], np.int64) for x in left["asked"].to_pylist()]
-        return pa.table({"chunk": left["chunk"], "bucket": left["bucket"], "counts": pa.array([zlib.compress(x.tobytes(), 1) for x in found], pa.binary())})
+        return pa.table({"chunk": left["chunk"], "bucket": left["bucket"], "counts": pa.array([x.tobytes() for x in found], pa.binary())})
 
     return asked.groupBy("bucket", "copy").cogroup(held.groupBy("h_bucket", "h_copy")).applyInArrow(look_up, "chunk string, bucket int, counts binary")
 
@@ -446,8 +448,8 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", parts: in
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         docs = left["docs"].combine_chunks().flatten()
         found = sorted(zip(right["bucket"].to_pylist(), right["counts"].to_pylist()))
-        count = np.frombuffer(b"".join([zlib.decompress(x) for _, x in found]), np.int64)
-        step, times = np.frombuffer(zlib.decompress(left["pairs"][0].as_py()), np.int32).reshape(2, -1)
+        count = np.frombuffer(b"".join([x for _, x in found]), np.int64)
+        step, times = np.frombuffer(left["pairs"][0].as_py(), np.int32).reshape(2, -1)
         word, sizes = np.cumsum(step, dtype=np.int64), docs.field("words").to_numpy()
         owner = np.repeat(np.arange(len(docs)), sizes)
         add_up = lambda x: np.bincount(owner, weights=x, minlength=len(docs))
