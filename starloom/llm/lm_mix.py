@@ -346,9 +346,8 @@ class Model:
                     weights[chosen] = moves.view(np.complex128)
                 np.subtract(1, missed, out=missed)
                 np.maximum(missed, 1e-9, out=missed)
-                four = np.multiply.reduceat(missed, np.arange(0, len(missed), 4))  # a product of four stays above float's least
-                out[:most] -= np.log(four, out=four).sum(0, dtype=np.float64)
-        return out / np.log(2)
+                out[:most] -= np.log2(missed, out=missed).sum(0, dtype=np.float64)
+        return out
 
 
 @lru_cache(maxsize=2)
