@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from starloom.functions import normalize_text, row_hash
+from starloom.functions import lower_trim, normalize_text, row_hash
 from starloom.operators import dedup
 from starloom.operators.dims import dim_date, year_keys
 from starloom.operators.joins import (lateral_top1, nullsafe_join, period_start_join, seed_broadcast)
 from starloom.operators.lookups import Resolution, assert_unique, build_map, resolve, seed_frame
+from starloom.operators.quality import hierarchy_orphans
 from starloom.plans.basic import PRIORITY_SEED
 from starloom.plans.registry import register, sql_normalize
 from starloom.plans.scalar import NOISY_SEGMENT, sql_canonical
@@ -157,6 +158,26 @@ def hierarchy_validate(spark, sf_dir):
             .select("c_custkey", "c_nationkey", "n_name", "r_name")
 
 
+# Rows whose nation and region names do not stand together in the master hierarchy.
+@register("hierarchy_names", oracle="""
+WITH noisy AS (
+  SELECT s.s_suppkey, '  ' || lower(n.n_name) AS nation_text, r.r_name || ' ' AS region_text
+  FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON s.s_suppkey % 5 = r.r_regionkey)
+SELECT s_suppkey, nation_text, region_text FROM noisy x
+WHERE NOT EXISTS (SELECT 1 FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
+                  WHERE lower(trim(n.n_name)) = lower(trim(x.nation_text)) AND lower(trim(r.r_name)) = lower(trim(x.region_text)))
+""")
+def hierarchy_names(spark, sf_dir):
+    s = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
+    n = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
+    r = read_table(spark, sf_dir, "region", "r_regionkey", "r_name")
+    # stand-in: names as typed, the region taken from the row's number
+    noisy = s.join(n, s["s_nationkey"] == n["n_nationkey"]).join(r, s["s_suppkey"] % 5 == r["r_regionkey"]).select(
+        "s_suppkey", F.concat(F.lit("  "), F.lower("n_name")).alias("nation_text"), F.concat("r_name", F.lit(" ")).alias("region_text"))
+    masters = n.join(r, n["n_regionkey"] == r["r_regionkey"])
+    return hierarchy_orphans(noisy, "nation_text", "region_text", masters, "n_name", "r_name", lower_trim)
+
+
 RETURNFLAG_LABELS = [("A", "Accepted"), ("R", "Returned")]
 LINESTATUS_LABELS = [("F", "Filled"), ("O", "Open")]
 ORDERSTATUS_LABELS = [("F", "Fulfilled"), ("O", "Open"), ("P", "Partial")]
