@@ -5,7 +5,8 @@ with byte fallback and a byte-level one.  A text's characters per token,
 the share of byte-fallback tokens and the entropy of its tokens must lie in
 a band, chosen by language.  Text that is no prose of a language (symbol
 salad, capitals, key material, one phrase over and over) takes more tokens
-for its characters, or less varied ones.
+for its characters, or less varied ones.  A text without a language that has a
+band takes the band of the script that most of its characters are of.
 
 Words are encoded one by one, as they stand behind a blank, and what was
 measured of a word is remembered, so that a frequent word costs a lookup.
@@ -48,7 +49,7 @@ class Band:
     fallback: float = 0.2
 
 
-#: Bands by language; others and texts without a language take ``OTHER``. Texts of fewer tokens are too short to judge.
+#: Bands by language; others and texts without a language take their script's, and else ``OTHER``. Texts of fewer tokens are too short to judge.
 ROMANCE = ((5, 4.0), (6, 4.65), (7, 5.25), (8, 5.68), (9, 5.98), (10, 6.18), (11, 6.35), (12, 6.48), (14, 6.55))
 BANDS = {
     "en": Band(1.5, 1.5, ((5, 4.0), (6, 4.7), (7, 5.35), (8, 5.8), (9, 6.15), (10, 6.38), (11, 6.55), (12, 6.7), (14, 6.8))),
@@ -56,6 +57,35 @@ BANDS = {
 }
 OTHER = Band(1.0, 1.0, ((5, 3.5), (7, 4.5), (9, 5.0), (14, 5.0)))
 LEAST_TOKENS = 32
+#: Bands by script. Both vocabularies spell most of them letter by letter or byte by byte, so bounds lie where clean prose does, not where Latin's do.
+#: ``rest`` are scripts that the vocabularies hold next to nothing of; ``marked`` is Latin with many marked letters, as Vietnamese.
+SCRIPT_BANDS = {
+    "cyrillic": Band(1.5, 0.66, ((5, 3.5), (7, 5.0), (9, 5.2)), fallback=0.1),
+    "greek": Band(0.72, 0.66, ((5, 3.0), (7, 3.7), (9, 4.2)), fallback=0.1),
+    "arabic": Band(0.78, 0.7, ((5, 3.0), (7, 3.9), (9, 4.3)), fallback=0.1),
+    "hebrew": Band(0.72, 0.62, ((5, 3.0), (7, 3.5), (9, 3.9)), fallback=0.1),
+    "devanagari": Band(0.6, 0.44, ((5, 3.0), (7, 3.9), (9, 4.4))),
+    "thai": Band(0.68, 0.38, ((5, 3.0), (7, 4.0), (9, 4.5))),
+    "hangul": Band(0.5, 0.28, ((5, 3.5), (7, 4.4), (9, 4.8)), fallback=0.45),
+    "kana": Band(0.45, 0.4, ((5, 3.0), (7, 3.9), (9, 4.3)), fallback=0.35),
+    "han": Band(0.4, 0.3, ((5, 3.0), (7, 3.7), (9, 4.1)), fallback=0.35),
+    "rest": Band(0.25, 0.2, ((5, 2.5), (9, 3.0)), fallback=1.0),
+    "marked": Band(0.95, 0.66, ((5, 3.5), (7, 4.6), (9, 5.0)), fallback=0.1),
+}
+#: First code points of ranges and their scripts; "" is what no script's band is for (plain Latin, digits, signs).
+RANGES = ((0, ""), (0xC0, "marked"), (0x250, ""), (0x300, "marked"), (0x370, "greek"), (0x400, "cyrillic"), (0x530, "rest"), (0x590, "hebrew"),
+          (0x600, "arabic"), (0x700, "rest"), (0x750, "arabic"), (0x780, "rest"), (0x8A0, "arabic"), (0x900, "devanagari"), (0x980, "rest"),
+          (0xE00, "thai"), (0xE80, "rest"), (0x1100, "hangul"), (0x1200, "rest"), (0x1C80, "cyrillic"), (0x1C90, "rest"), (0x1D00, ""),
+          (0x1E00, "marked"), (0x1F00, "greek"), (0x2000, ""), (0x2DE0, "cyrillic"), (0x2E00, ""), (0x3040, "kana"), (0x3100, "han"),
+          (0x3130, "hangul"), (0x3190, "han"), (0x31F0, "kana"), (0x3200, ""), (0x3400, "han"), (0x4DC0, ""), (0x4E00, "han"), (0xA000, "rest"),
+          (0xA640, "cyrillic"), (0xA6A0, "rest"), (0xA700, ""), (0xA800, "rest"), (0xA8E0, "devanagari"), (0xA900, "rest"), (0xAC00, "hangul"),
+          (0xD800, ""), (0xF900, "han"), (0xFB00, ""), (0xFB13, "rest"), (0xFB1D, "hebrew"), (0xFB50, "arabic"), (0xFE00, ""), (0xFE70, "arabic"),
+          (0xFEFF, ""), (0xFF66, "kana"), (0xFFA0, "hangul"), (0xFFE0, ""), (0x10000, "rest"), (0x1D000, ""), (0x1E000, "rest"), (0x1F000, ""),
+          (0x20000, "han"), (0x40000, ""))
+SCRIPTS = ("", *SCRIPT_BANDS)
+FIRSTS = np.array([first for first, _ in RANGES], np.uint32)
+OWNERS = np.array([SCRIPTS.index(name) for _, name in RANGES])
+MARKED_SHARE = 0.2
 
 STATE = T.StructType([
     *(T.StructField(f"__q_{n}", T.LongType()) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "tokens", "fallback", "byte_tokens")),
@@ -136,22 +166,35 @@ def in_band(band: Band, word_chars: int, tokens: int, fallback: int, byte_tokens
                 and fallback <= band.fallback * tokens and entropy >= least)
 
 
+def script(raw: bytes) -> str:
+    """The script that most of a text's characters are of (blanks aside; the first of equal ones), or ""; ``marked`` needs a fifth of the Latin text's."""
+    points = np.frombuffer(b"".join(raw.split()).decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+    counts = np.bincount(OWNERS[np.searchsorted(FIRSTS, points, side="right") - 1], minlength=len(SCRIPTS))
+    marked = counts[-1]
+    counts[0] += marked
+    counts[-1] = 0
+    most = SCRIPTS[int(counts.argmax())]
+    return "marked" if not most and marked and marked >= MARKED_SHARE * counts[0] else most
+
+
 @lru_cache(maxsize=2)
 def _words(piece_model, ranks) -> Words:
     return Words(piece_model.value, ranks.value)
 
 
 def annotate(docs: DataFrame, piece_model_file: str, ranks_file: str, text: str = "text", lang: str = "lang",
-             bands: dict[str, Band] | None = None, other: Band = OTHER) -> DataFrame:
+             bands: dict[str, Band] | None = None, other: Band = OTHER, scripts: dict[str, Band] | None = None) -> DataFrame:
     """``docs`` with the columns of ``STATE``.
 
     ``base_failed``: fewer than 20 words, or over 30 in a hundred words
     stand in repeated windows of 8.  ``kept``: not so, and in the
-    language's band.  Null and empty texts have no words and fail.
+    language's band, or where ``bands`` has none in that of the text's
+    script, or in ``other``.  Null and empty texts have no words and fail.
     """
     spark = docs.sparkSession
     small_batches(spark)
     bands = BANDS if bands is None else bands
+    scripts = SCRIPT_BANDS if scripts is None else scripts
     shared = []
     for name in (piece_model_file, ranks_file):
         with open(name, "rb") as f:
@@ -171,7 +214,8 @@ def annotate(docs: DataFrame, piece_model_file: str, ranks_file: str, text: str
                 for x, language in zip(raw, part.column(at_lang).to_pylist()):
                     m = measure(x, known)
                     failed = m[0] < 20 or 100 * m[4] > 30 * m[0]
-                    rows.append((*m, failed, not failed and in_band(bands.get(language, other), m[1], *m[5:])))
+                    band = None if failed else bands.get(language) or scripts.get(script(x), other)
+                    rows.append((*m, failed, band is not None and in_band(band, m[1], *m[5:])))
                 columns = list(zip(*rows)) if rows else [()] * len(STATE.fields)
                 kinds = [pa.int64()] * 8 + [pa.float64(), pa.bool_(), pa.bool_()]
                 yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array(c, k) for c, k in zip(columns, kinds))],
