@@ -21,14 +21,22 @@ The corpus' counts come from all training texts.  Texts are scored where
 they are read, in chunks of a few megabytes, and never shuffled.  A chunk's
 distinct words, in one row for each bucket of words, are what meets the
 word counts; counts go back to the chunk as arrays.
+
+What is learned grows with the corpus.  The first three predictors' tables
+are counted again with more slots until at most one in ``ROOM`` is used.
+The last predictor's contexts, the units so far, are as many as the corpus
+has words; beyond ``NARROW`` bytes of distinct units they are a table of
+each context's following bytes and their counts, without hashed slots, and a
+chunk asks for its contexts by bucket as it does for words.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 import uuid
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -44,9 +52,18 @@ from starloom.llm.common import bytes_of, pieces, small_batches, store
 END = 0xFF
 BLANK = np.zeros(256, bool)
 BLANK[[9, 10, 11, 12, 13, 32, END]] = True
-#: Slots of each predictor's table, as powers of two.
+#: Slots of each predictor's table at least, as powers of two.
 SLOT_BITS = (16, 18, 18, 21)
-TABLES = np.cumsum([0, *(1 << b for b in SLOT_BITS)])
+
+
+def _tables(slot_bits: Sequence[int]) -> np.ndarray:
+    return np.cumsum([0, *(1 << b for b in slot_bits)])
+
+
+TABLES = _tables(SLOT_BITS)
+#: Bytes of distinct units up to which the last predictor has a table of slots, and slots for each used one otherwise.
+NARROW = 1 << 15
+ROOM = 8
 ORDERS = len(SLOT_BITS)
 SEGMENT = 1024
 #: Segments mixed side by side, bits of each fetched together, bits
@@ -61,6 +78,10 @@ CHUNK = 8 << 20
 BUCKETS = 16
 BUCKET_WORDS = 200_000
 ASKED_WORDS = 1_000_000
+#: Bits of a context's hash, bytes of distinct units for each bucket of contexts, and contexts asked of one group of a bucket.
+HASHED = 48
+BUCKET_BYTES = 2_000_000
+ASKED_CONTEXTS = 2_000_000
 #: First weight of each predictor, learning rate, and the counts that part the gates.
 WEIGHTS, RATE, SEEN = (0.0, 0.1, 0.3, 0.7), 0.02, (1, 30)
 ROOT, SUM = float(np.sqrt(RATE)), np.ones(ORDERS, np.float32)
@@ -143,8 +164,32 @@ def distinct(symbols: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tupl
     return symbols[at], own, which, counts
 
 
-def slots(symbols: np.ndarray, sizes: np.ndarray, place: np.ndarray, node: np.ndarray) -> np.ndarray:
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """``sizes`` numbers from each of ``starts`` on."""
+    return np.arange(int(sizes.sum())) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
+
+
+def _contexts(symbols: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """For each symbol, the hash of its unit so far, of ``HASHED`` bits."""
+    found = _prefixes(symbols, np.cumsum(sizes) - sizes, sizes)[0]
+    found ^= found >> np.uint64(29)
+    found *= _ODD
+    return found >> np.uint64(64 - HASHED)
+
+
+def _packed(numbers: np.ndarray) -> bytes:
+    """Ascending numbers by their steps, byte by byte, so that what they have in common shrinks when written."""
+    return np.diff(numbers, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    steps = np.ascontiguousarray(np.frombuffer(packed, np.uint8).reshape(8, -1).T)
+    return np.cumsum(steps.view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def slots(symbols: np.ndarray, sizes: np.ndarray, place: np.ndarray, node: np.ndarray, slot_bits: Sequence[int] = SLOT_BITS) -> np.ndarray:
     """The slot of each bit in each predictor's table (bits, predictors)."""
+    tables = _tables(slot_bits)
     starts = np.cumsum(sizes) - sizes
     depth = np.arange(len(symbols)) - np.repeat(starts, sizes)
     known = symbols.astype(np.uint64) + np.uint64(1)
@@ -159,13 +204,13 @@ def slots(symbols: np.ndarray, sizes: np.ndarray, place: np.ndarray, node: np.nd
     out = np.empty((len(place), ORDERS), np.int32)
     for lo in range(0, len(place), NEAR):  # few enough at once to stay near the processor
         these, steps = place[lo:lo + NEAR], step[node[lo:lo + NEAR]]
-        for i, (context, bits) in enumerate(zip(contexts, SLOT_BITS)):
+        for i, (context, bits) in enumerate(zip(contexts, slot_bits)):
             mixed = context.take(these)
             mixed += steps
             mixed ^= mixed >> np.uint64(29)
             mixed *= _ODD
             mixed >>= np.uint64(64 - bits)
-            mixed += np.uint64(TABLES[i])
+            mixed += np.uint64(tables[i])
             out[lo:lo + NEAR, i] = mixed
     return out
 
@@ -230,9 +275,10 @@ def _byte_counts(counted: DataFrame) -> list[int]:
     return counts
 
 
-def _context_counts(counted: DataFrame, code: Code) -> np.ndarray:
-    """(zeros, ones) of every slot over all units; the tables have a fixed size."""
-    blocks = -(-int(TABLES[-1]) // BLOCK)
+def _context_counts(counted: DataFrame, code: Code, slot_bits: Sequence[int] = SLOT_BITS) -> np.ndarray:
+    """(zeros, ones) of every slot over all units."""
+    n_slots = int(_tables(slot_bits)[-1])
+    blocks = -(-n_slots // BLOCK)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(2 * BLOCK * blocks, np.float64)
@@ -240,7 +286,7 @@ def _context_counts(counted: DataFrame, code: Code) -> np.ndarray:
             symbols, sizes, n = _column(batch)
             place, node, bit = code.spell(symbols)
             weight = np.repeat(n, sizes)[place].astype(np.float64)
-            at = slots(symbols, sizes, place, node)
+            at = slots(symbols, sizes, place, node, slot_bits)
             for i in range(ORDERS):
                 np.add.at(total, at[:, i] * 2 + bit, weight)
         total = total.astype(np.int64)
@@ -262,14 +308,107 @@ def _context_counts(counted: DataFrame, code: Code) -> np.ndarray:
     out = np.zeros((blocks, 2 * BLOCK), np.int64)
     for r in tables.toLocalIterator():  # one row a block
         out[r["block"]] = np.frombuffer(zlib.decompress(bytes(r["counts"])), np.int64)
-    return out.reshape(-1, 2)[:TABLES[-1]]
+    return out.reshape(-1, 2)[:n_slots]
+
+
+def _grown_counts(counted: DataFrame, code: Code) -> tuple[np.ndarray, list[int]]:
+    """The counts of the first three predictors, in tables with room for what the corpus has, and the tables' slot bits."""
+    slot_bits = [*SLOT_BITS[:-1], 1]  # the last has no table
+    while True:
+        counts, tables = _context_counts(counted, code, slot_bits), _tables(slot_bits)
+        wanted = list(slot_bits)
+        for i, bits in enumerate(slot_bits[:-1]):
+            free = float((counts[tables[i]:tables[i + 1]].sum(1) == 0).mean())
+            contexts = -math.log(max(free, 2.0 ** -bits)) * 2 ** bits  # as many as leave that share free
+            if contexts >= 1:
+                wanted[i] = max(bits, math.ceil(math.log2(ROOM * contexts)))
+        if wanted == slot_bits:
+            return counts, slot_bits
+        slot_bits = wanted
+
+
+def _added_up(context: np.ndarray, symbol: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Counts of equal (context, symbol), ordered by both."""
+    order = np.lexsort((symbol, context))
+    context, symbol, n = context[order], symbol[order], n[order]
+    first = np.flatnonzero(np.concatenate((np.ones(min(len(n), 1), bool), (context[1:] != context[:-1]) | (symbol[1:] != symbol[:-1]))))
+    return context[first], symbol[first], np.add.reduceat(n, first) if len(n) else n
+
+
+def _by_bucket(context: np.ndarray, buckets: int) -> Iterator[tuple[int, slice]]:
+    """The buckets of ascending contexts, and where each lies; buckets are ranges."""
+    bucket = context * np.uint64(buckets) >> np.uint64(HASHED)
+    used, first = np.unique(bucket, return_index=True)
+    yield from zip(used.tolist(), map(slice, first.tolist(), [*first[1:].tolist(), len(context)]))
+
+
+def _successors(counted: DataFrame, buckets: int) -> DataFrame:
+    """``bucket, context, symbol, n`` with one row for each bucket: what followed each context of the last predictor how often, as arrays."""
+
+    def packed(bucket: int, context: np.ndarray, symbol: np.ndarray, n: np.ndarray) -> list:
+        return [pa.array([bucket], pa.int32()), *(pa.array([x], pa.binary()) for x in (_packed(context), symbol.tobytes(), n.tobytes()))]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in _together(batches, PIECE):
+            symbols, sizes, n = _column(held)
+            found = _added_up(_contexts(symbols, sizes), symbols, np.repeat(n, sizes))
+            for bucket, own in _by_bucket(found[0], buckets):
+                yield pa.RecordBatch.from_arrays(packed(bucket, *(x[own] for x in found)), names)
+
+    def add(group: pa.Table) -> pa.Table:
+        context = np.concatenate([_unpacked(x) for x in group["context"].to_pylist()])
+        symbol, n = (np.frombuffer(b"".join(group[c].to_pylist()), kind) for c, kind in (("symbol", np.uint8), ("n", np.int64)))
+        return pa.Table.from_arrays(packed(group["bucket"][0].as_py(), *_added_up(context, symbol, n)), names)
+
+    names, shape = ["bucket", "context", "symbol", "n"], "bucket int, context binary, symbol binary, n binary"
+    return counted.select(F.col("unit").alias("raw"), "n").mapInArrow(run, shape).groupBy("bucket").applyInArrow(add, shape)
+
+
+def _texts(raws: bytes, sizes: list[int]) -> list[bytes]:
+    """The texts that were stored together."""
+    whole, ends = zlib.decompress(raws), np.cumsum(sizes).tolist()
+    return [whole[end - size:end] for end, size in zip(ends, sizes)]
+
+
+def _asked_of(texts: list[bytes]) -> np.ndarray:
+    """The distinct contexts of the last predictor in the texts."""
+    parts = [np.zeros(0, np.uint64)]
+    for _, some in _small(texts):
+        found, own, _, _ = distinct(*units(some)[:3])
+        parts.append(np.unique(_contexts(found, own)))
+    return np.unique(np.concatenate(parts))
+
+
+class Known:
+    """What followed each of a chunk's contexts (ascending)."""
+
+    def __init__(self, contexts: np.ndarray, sizes: np.ndarray, symbols: np.ndarray, n: np.ndarray):
+        self.contexts, self.sizes, self.starts = contexts, sizes, np.cumsum(sizes) - sizes
+        self.symbols, self.n = symbols, n
+
+    def counts(self, code: Code, symbols: np.ndarray, sizes: np.ndarray, place: np.ndarray, node: np.ndarray) -> np.ndarray:
+        """(zeros, ones) of each bit under its unit so far."""
+        found, which = np.unique(_contexts(symbols, sizes), return_inverse=True)
+        at = np.searchsorted(self.contexts, found)
+        own = self.sizes[at]
+        followers = _ranges(self.starts[at], own)
+        seen_place, seen_node, seen_bit = code.spell(self.symbols[followers])
+        cells, cell = np.unique(np.repeat(np.arange(len(found)), own)[seen_place] * 256 + seen_node, return_inverse=True)
+        n = self.n[followers][seen_place].astype(np.float64)
+        total = np.zeros((len(cells) + 1, 2))
+        for b in (0, 1):
+            total[:-1, b] = np.bincount(cell, weights=n * (seen_bit == b), minlength=len(cells))
+        asked = which[place] * 256 + node
+        hit = np.searchsorted(cells, asked)
+        hit[np.append(cells, -1)[hit] != asked] = len(cells)  # never seen
+        return total[hit]
 
 
 class Model:
     """The code, each slot's log odds, and the gate of each slot of the last predictor."""
 
-    def __init__(self, byte_counts: list[int], odds: np.ndarray, gate: np.ndarray):
-        self.odds, self.gate, self.code = odds, gate, Code(byte_counts)
+    def __init__(self, byte_counts: list[int], odds: np.ndarray, gate: np.ndarray, slot_bits: Sequence[int] = SLOT_BITS):
+        self.odds, self.gate, self.code, self.slot_bits = odds, gate, Code(byte_counts), slot_bits
 
     @staticmethod
     def parts(byte_counts: list[int], counts: np.ndarray) -> tuple[list[int], np.ndarray, np.ndarray]:
@@ -277,21 +416,23 @@ class Model:
         return (byte_counts, np.log((counts[:, 1] + 0.4) / (counts[:, 0] + 0.4)).astype(np.float32),
                 np.searchsorted(np.array(SEEN), counts.sum(1), side="right").astype(np.int8))
 
-    def bits(self, texts: list[bytes]) -> np.ndarray:
-        """Total bits of each text."""
+    def bits(self, texts: list[bytes], known: Known | None = None) -> np.ndarray:
+        """Total bits of each text; ``known`` stands for the last predictor's table."""
         out = np.zeros(len(texts))
         for first, some in _small(texts):
-            out[first:first + len(some)] = self._bits(some)
+            out[first:first + len(some)] = self._bits(some, known)
         return out
 
-    def _bits(self, texts: list[bytes]) -> np.ndarray:
+    def _bits(self, texts: list[bytes], known: Known | None) -> np.ndarray:
         symbols, starts, sizes, until = units(texts)
         found, own, which, _ = distinct(symbols, starts, sizes)
         place, node, bit = self.code.spell(found)
-        at = slots(found, own, place, node)
+        at = slots(found, own, place, node, self.slot_bits)
         odds, gate = np.empty(at.shape, np.float32), self.gate.take(at[:, -1])
         for lo in range(0, len(at), NEAR):
             odds[lo:lo + NEAR] = self.odds.take(at[lo:lo + NEAR])
+        if known is not None:
+            _, odds[:, -1], gate = self.parts([], known.counts(self.code, found, own, place, node))
         # signed by the bit that comes, so that a greater sum is a better guess; the rate's root in the odds stands for the rate
         odds *= np.where(bit, ROOT, -ROOT).astype(np.float32)[:, None]
         # the distinct units' bits lie behind one another; a text's bits are ranges of them
@@ -355,15 +496,15 @@ def _model(shared) -> Model:
     return Model(*shared.value)
 
 
-def _scored(rows: DataFrame, kind: T.DataType, model, buckets: int) -> DataFrame:
+def _scored(rows: DataFrame, kind: T.DataType, model, buckets: int, wide: bool) -> DataFrame:
     """A row for each chunk of texts (bucket -1: its documents with their bits, and how often each has which of the chunk's words)
     and one for each chunk and bucket (the chunk's distinct words in it, blank-separated).
 
-    Words are numbered by bucket, and in a bucket as they stand in its row.  The chunk's name is drawn, so the rows must be stored before use.
+    Words are numbered by bucket, and in a bucket as they stand in its row.  If ``wide``, the first row has the texts instead of bits.  The chunk's name is drawn, so the rows must be stored before use.
     """
     doc_kind = to_arrow_type(kind)
     docs = pa.struct([("doc_id", doc_kind), ("held_out", pa.bool_()), ("bits", pa.float64()), ("size", pa.int64()), ("words", pa.int32())])
-    shape = pa.schema([("chunk", pa.string()), ("bucket", pa.int32()), ("n", pa.int64()), ("asked", pa.binary()), ("docs", pa.list_(docs)), ("pairs", pa.binary())])
+    shape = pa.schema([("chunk", pa.string()), ("bucket", pa.int32()), ("n", pa.int64()), ("asked", pa.binary()), ("docs", pa.list_(docs)), ("pairs", pa.binary()), ("raws", pa.binary())])
 
     def chunk(held: pa.Table) -> pa.RecordBatch:
         raws = bytes_of(held["raw"])
@@ -379,18 +520,19 @@ def _scored(rows: DataFrame, kind: T.DataType, model, buckets: int) -> DataFrame
         used, first = np.unique(bucket[order], return_index=True)
         asked = [[words[i] for i in part.tolist()] for part in np.split(order, first[1:])] if len(used) else []
         name, more = uuid.uuid4().hex, len(used)
-        columns = [held["doc_id"].to_pylist(), held["held_out"].to_pylist(), _model(model).bits(raws).tolist(), [len(x) for x in raws], [len(w) for w in at]]
+        columns = [held["doc_id"].to_pylist(), held["held_out"].to_pylist(), [None] * len(raws) if wide else _model(model).bits(raws).tolist(), [len(x) for x in raws], [len(w) for w in at]]
         return pa.RecordBatch.from_arrays([
             pa.array([name] * (more + 1)), pa.array([-1, *used.tolist()], pa.int32()), pa.array([0, *map(len, asked)], pa.int64()),
             pa.array([None, *map(b" ".join, asked)], pa.binary()),
             pa.array([[dict(zip(docs.names, r)) for r in zip(*columns)], *[None] * more], pa.list_(docs)),
-            pa.array([pairs.tobytes(), *[None] * more], pa.binary())], schema=shape)
+            pa.array([pairs.tobytes(), *[None] * more], pa.binary()),
+            pa.array([zlib.compress(b"".join(raws), 1) if wide else None, *[None] * more], pa.binary())], schema=shape)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held in _together(batches, CHUNK):
             yield chunk(held)
 
-    return rows.mapInArrow(run, f"chunk string, bucket int, n long, asked binary, docs array<struct<doc_id:{kind.simpleString()},held_out:boolean,bits:double,size:bigint,words:int>>, pairs binary")
+    return rows.mapInArrow(run, f"chunk string, bucket int, n long, asked binary, docs array<struct<doc_id:{kind.simpleString()},held_out:boolean,bits:double,size:bigint,words:int>>, pairs binary, raws binary")
 
 
 def _asked_counts(scored: DataFrame, words: DataFrame, buckets: int) -> DataFrame:
@@ -414,6 +556,41 @@ def _asked_counts(scored: DataFrame, words: DataFrame, buckets: int) -> DataFram
     return asked.groupBy("bucket", "copy").cogroup(held.groupBy("h_bucket", "h_copy")).applyInArrow(look_up, "chunk string, bucket int, counts binary")
 
 
+def _asked_contexts(scored: DataFrame, successors: DataFrame, buckets: int) -> DataFrame:
+    """``chunk, bucket, sizes, symbols, counts``: what followed each context that a chunk asks for, in ascending order within the bucket."""
+
+    def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, raws, sizes in zip(batch["chunk"].to_pylist(), batch["raws"], batch["sizes"]):
+                asked = _asked_of(_texts(raws.as_py(), sizes.as_py()))
+                found = [(b, asked[own]) for b, own in _by_bucket(asked, buckets)]
+                yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(found), pa.string()), pa.array([b for b, _ in found], pa.int32()),
+                                                  pa.array([_packed(x) for _, x in found], pa.binary())], ["chunk", "bucket", "asked"])
+
+    held = scored.filter("bucket < 0").select("chunk", "raws", F.col("docs.size").alias("sizes"))
+    # a chunk asks for fewer contexts than it has bytes and ends
+    total = scored.filter("bucket < 0").select(F.explode("docs").alias("d")).agg(F.coalesce(F.sum(F.col("d.size") + 1), F.lit(0)).alias("n")).first()["n"]
+    copies = max(1, -(-total // (buckets * ASKED_CONTEXTS)))
+    asked = held.mapInArrow(ask, "chunk string, bucket int, asked binary").withColumn("copy", F.pmod(F.xxhash64("chunk"), F.lit(copies)).cast("int"))
+    right = successors.select(F.col("bucket").alias("h_bucket"), F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("h_copy"), "context", "symbol", "n")
+
+    def look_up(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        context = _unpacked(b"".join(right["context"].to_pylist()))  # one row at most
+        symbol, n = (np.frombuffer(b"".join(right[c].to_pylist()), kind) for c, kind in (("symbol", np.uint8), ("n", np.int64)))
+        out: list[list[bytes]] = [[], [], []]
+        for x in left["asked"]:
+            wanted = _unpacked(x.as_py())
+            first = np.searchsorted(context, wanted)
+            sizes = np.searchsorted(context, wanted, side="right") - first
+            at = _ranges(first, sizes)
+            for to, part in zip(out, (sizes.astype(np.uint16), symbol[at], n[at].astype(np.float32))):
+                to.append(part.tobytes())
+        return pa.table({"chunk": left["chunk"], "bucket": left["bucket"], **{c: pa.array(x, pa.binary()) for c, x in zip(("sizes", "symbols", "counts"), out)}})
+
+    return (asked.groupBy("bucket", "copy").cogroup(right.groupBy("h_bucket", "h_copy"))
+            .applyInArrow(look_up, "chunk string, bucket int, sizes binary, symbols binary, counts binary"))
+
+
 def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", parts: int = 7, part: int = 2) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte`` of every row.
 
@@ -430,7 +607,11 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", parts: in
 
     counted = store(_unit_counts(teach), "unit_counts")
     byte_counts = _byte_counts(counted)
-    model = spark.sparkContext.broadcast(Model.parts(byte_counts, _context_counts(counted, Code(byte_counts))))
+    distinct_bytes = counted.agg(F.coalesce(F.sum(F.octet_length("unit")), F.lit(0)).alias("n")).first()["n"]
+    wide = distinct_bytes > NARROW
+    context_buckets = max(BUCKETS, -(-distinct_bytes // BUCKET_BYTES))
+    table, slot_bits = _grown_counts(counted, Code(byte_counts)) if wide else (_context_counts(counted, Code(byte_counts)), SLOT_BITS)
+    model = spark.sparkContext.broadcast((*Model.parts(byte_counts, table), slot_bits))
     # a unit is a word and the sign behind it
     size = F.octet_length("unit")
     words = counted.filter(size > 1).groupBy(F.expr("substring(unit, 1, octet_length(unit) - 1)").alias("word")).agg(F.sum("n").alias("n"))
@@ -441,11 +622,22 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", parts: in
 
     buckets = max(BUCKETS, -(-sums["v"] // BUCKET_WORDS))
     kind = rows.schema["doc_id"].dataType
-    scored = store(_scored(rows, kind, model, buckets), "scored_chunks")
+    scored = store(_scored(rows, kind, model, buckets, wide), "scored_chunks")
     counts = _asked_counts(scored, words, buckets)
+    if wide:
+        followers = store(_successors(counted, context_buckets), "context_counts")
+        counts = counts.unionByName(_asked_contexts(scored, followers, context_buckets), allowMissingColumns=True)
 
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         docs = left["docs"].combine_chunks().flatten()
+        bits = docs.field("bits")
+        if wide:
+            raws = _texts(left["raws"][0].as_py(), docs.field("size").to_pylist())
+            of_contexts = right.filter(pa.compute.is_valid(right["sizes"])).sort_by("bucket")
+            right = right.filter(pa.compute.is_null(right["sizes"]))
+            sizes, symbols, n = (np.frombuffer(b"".join(of_contexts[c].to_pylist()), kind)
+                                 for c, kind in (("sizes", np.uint16), ("symbols", np.uint8), ("counts", np.float32)))
+            bits = _model(model).bits(raws, Known(_asked_of(raws), sizes.astype(np.int64), symbols, n))
         found = sorted(zip(right["bucket"].to_pylist(), right["counts"].to_pylist()))
         count = np.frombuffer(b"".join([x for _, x in found]), np.int64)
         step, times = np.frombuffer(left["pairs"][0].as_py(), np.int32).reshape(2, -1)
@@ -455,12 +647,12 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", parts: in
         n_tokens = add_up(times) + 1  # and the end
         n_known = add_up(times * (count[word] > 0)) + (texts > 0)
         base = add_up(times * np.log10(count[word] + 1.0)) + np.log10(texts + 1) - n_tokens * np.log10(train_tokens + distinct_tokens + 1)
-        bits, size = docs.field("bits").to_numpy(), docs.field("size").to_numpy()
+        bits, size = np.asarray(bits), docs.field("size").to_numpy()
         return pa.table({"doc_id": docs.field("doc_id"), "held_out": docs.field("held_out"), "n_tokens": n_tokens.astype(np.int64),
                          "n_known": n_known.astype(np.int64), "train_tokens": np.full(len(docs), train_tokens, np.int64),
                          "base_score": base, "score": -bits * np.log10(2),
                          "bits_per_byte": pa.array([b / n if n else None for b, n in zip(bits.tolist(), size.tolist())], pa.float64())})
 
-    chunks = scored.filter("bucket < 0").select("chunk", "docs", "pairs")
+    chunks = scored.filter("bucket < 0").select("chunk", "docs", "pairs", "raws")
     return chunks.groupBy("chunk").cogroup(counts.groupBy("chunk")).applyInArrow(
         run, f"doc_id {kind.simpleString()}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double")
