@@ -14,8 +14,9 @@ the text's total bits.
 Since contexts begin with the unit, a unit's log odds are the same wherever
 it stands: the corpus is counted by its distinct units, and a text's odds
 are looked up once for each distinct unit.  Only the mixing runs bit by bit.
-Weights begin anew every ``SEGMENT`` bits, which lets many segments be mixed
-side by side as arrays.  The score is still the logarithm of a probability.
+Weights are carried through the whole text: many texts are mixed side by side
+as arrays, and what is left of the longest ones bit by bit.  The score is the
+logarithm of a probability.
 
 The corpus' counts come from all training texts.  Texts are scored where
 they are read, in chunks of a few megabytes, and never shuffled.  A chunk's
@@ -65,10 +66,12 @@ TABLES = _tables(SLOT_BITS)
 NARROW = 1 << 15
 ROOM = 8
 ORDERS = len(SLOT_BITS)
-SEGMENT = 1024
-#: Segments mixed side by side, bits of each fetched together, bits
+#: Bits after which a text's weights begin anew: more than any text has.
+SEGMENT = 1 << 40
+#: Segments mixed side by side, and fewest for which arrays pay; bits of each fetched together, bits
 #: hashed together, bytes of text worked on at once, and slots in one row of counts.
 LANES = 2560
+FEW = 8
 STEPS = 64
 NEAR = 1 << 14
 PIECE = 2 << 20
@@ -468,6 +471,11 @@ class Model:
         with np.errstate(over="ignore"):  # a chance of 0, which the floor below lifts
             for t in range(0, steps, STEPS):
                 most = int(live[t])
+                if most <= FEW:
+                    own_weights = weights.view(np.float32).reshape(lanes, gates, ORDERS)
+                    for i in range(most):
+                        out[i] += Model._mix_one(odds, gate, row[start[i] + t:start[i] + size[i]], own_weights[i].tolist())
+                    break
                 # a segment's bits lie near one another, so they are fetched segment by segment and then turned
                 at = row.take(start[:most, None] + np.arange(t, min(t + STEPS, steps)), mode="clip")
                 every, pick = np.ascontiguousarray(moved.take(at).T), gate.take(at).T + own[:most]
@@ -490,6 +498,22 @@ class Model:
                 out[:most] -= np.log2(missed, out=missed).sum(0, dtype=np.float64)
         return out
 
+    @staticmethod
+    def _mix_one(odds: np.ndarray, gate: np.ndarray, row: np.ndarray, weights: list[list[float]]) -> float:
+        """Bits of one segment's ``row``, from the weights of each gate on."""
+        cost = 0.0
+        for lo in range(0, len(row), NEAR):
+            some = row[lo:lo + NEAR]
+            for (a, b, c, d), g in zip(odds.take(some, axis=0).tolist(), gate.take(some).tolist()):
+                w = weights[g]
+                miss = 1 / (1 + math.exp(min(w[0] * a + w[1] * b + w[2] * c + w[3] * d, 700.0)))
+                cost -= math.log2(max(1 - miss, 1e-9))
+                w[0] += miss * a
+                w[1] += miss * b
+                w[2] += miss * c
+                w[3] += miss * d
+        return cost
+
 
 @lru_cache(maxsize=2)
 def _model(shared) -> Model:

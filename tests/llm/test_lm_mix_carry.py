@@ -1,0 +1,36 @@
+import math
+
+import numpy as np
+import pytest
+
+from starloom.llm import lm_mix
+
+
+def _model():
+    counts = np.random.default_rng(2).integers(0, 50, (int(lm_mix.TABLES[-1]), 2))
+    return lm_mix.Model(*lm_mix.Model.parts([1] * 256, counts))
+
+
+def online(model, text):
+    """One bit after the other, with weights that never begin anew."""
+    symbols, starts, sizes, _ = lm_mix.units([text])
+    total, weights = 0.0, [list(lm_mix.WEIGHTS) for _ in range(3)]
+    place, node, bits = model.code.spell(symbols)
+    at = lm_mix.slots(symbols, sizes, place, node)
+    for own, bit in zip(at.tolist(), bits.tolist()):
+        x = [float(model.odds[s]) for s in own]
+        w = weights[model.gate[own[-1]]]
+        chance = 1 / (1 + math.exp(-sum(a * b for a, b in zip(w, x))))
+        total -= math.log2(max(chance if bit else 1 - chance, 1e-9))
+        for i in range(len(w)):
+            w[i] += lm_mix.RATE * (bit - chance) * x[i]
+    return total
+
+
+@pytest.mark.parametrize("few", [0, 2, 8])
+def test_weights_are_carried_through_a_text(monkeypatch, few):
+    monkeypatch.setattr(lm_mix, "FEW", few)
+    rng = np.random.default_rng(7)
+    texts = [b" ".join(b"w%d" % i for i in rng.integers(0, 300, n)) for n in (5, 40, 700, 3000, 0, 900)]
+    model = _model()
+    assert model.bits(texts) == pytest.approx([online(model, t) for t in texts], rel=2e-4)
