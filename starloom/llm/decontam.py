@@ -5,8 +5,8 @@ shard as word numbers of the benchmark's vocabulary, sorts its suffixes and
 binary-searches every benchmark suffix in that array, one word deeper at a
 time.  The array interval where a suffix stops is its longest verbatim
 match with all its locations; the interval at the window length gives the
-hits.  Runs of benchmark words that are shorter than the shortest window
-can't hold a match and are left out of the array.
+hits.  Shorter runs of benchmark words are searched, too, for the
+longest match, which may be shorter than a window.
 
 The benchmark is the query set.  It is sent to the tasks in blocks of
 bounded size, and documents stream through one pass per block; nothing is
@@ -67,7 +67,6 @@ class Queries:
         self.starts = np.flatnonzero(rests > 0)
         self.item = np.array(item, np.int64)[self.starts]
         self.rest, self.need = rests[self.starts], needs[self.starts]
-        self.shortest = int(self.need.min()) if len(self.starts) else 0
         self.longest = int(self.rest.max()) if len(self.starts) else 0
 
 
@@ -106,10 +105,10 @@ def _edge(text: np.ndarray, order: np.ndarray, lo: np.ndarray, hi: np.ndarray, d
 
 
 def search(text: np.ndarray, order: np.ndarray, q: Queries) -> tuple[np.ndarray, ...]:
-    """For each benchmark suffix: interval at its window length (empty: none), length of its longest match, interval there."""
+    """For each benchmark suffix: interval at its window length (empty: none); for each place in ``order``: the longest match of any suffix, and that suffix."""
     n = len(q.starts)
     at_lo, at_hi = np.zeros(n, np.int64), np.zeros(n, np.int64)
-    length = np.zeros(n, np.int64)
+    reach, source = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
     end_lo, end_hi = np.zeros(n, np.int64), np.full(n, len(order), np.int64)
     live, depth = np.arange(n), 0
     while live.size:
@@ -119,11 +118,15 @@ def search(text: np.ndarray, order: np.ndarray, q: Queries) -> tuple[np.ndarray,
         on = lo < hi
         live, lo, hi = live[on], lo[on], hi[on]
         depth += 1
-        end_lo[live], end_hi[live], length[live] = lo, hi, depth
+        end_lo[live], end_hi[live] = lo, hi
+        # intervals of one depth are equal or apart, and lie in those of the depth before
+        own, first = np.unique(lo, return_index=True)
+        where, which = _spread(own, hi[first])
+        reach[where], source[where] = depth, live[first[which]]
         full = q.need[live] == depth
         at_lo[live[full]], at_hi[live[full]] = lo[full], hi[full]
         live = live[q.rest[live] > depth]
-    return at_lo, at_hi, length, end_lo, end_hi
+    return at_lo, at_hi, reach, source
 
 
 def _spread(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -147,7 +150,7 @@ def scan(texts: list[bytes], q: Queries) -> tuple[np.ndarray, ...]:
     ends = np.flatnonzero(flat == 0)
     before = np.concatenate(([-1], ends[:-1]))
     runs = ends - before - 1
-    long = (runs >= q.shortest) & (runs > 0)
+    long = runs > 0
     none = np.zeros(0, np.int64)
     best = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
     if not long.any() or not len(q.starts):
@@ -155,7 +158,7 @@ def scan(texts: list[bytes], q: Queries) -> tuple[np.ndarray, ...]:
     places, _ = _spread(before[long] + 1, ends[long] + 1)  # with the 0 that ends the run
     text = flat[places]
     order = suffix_array(text, q.longest)
-    at_lo, at_hi, length, end_lo, end_hi = search(text, order, q)
+    at_lo, at_hi, reach, source = search(text, order, q)
 
     # equal windows share an interval: each is spread once
     windows, same = np.unique(np.stack([at_lo, at_hi, q.need])[:, at_hi > at_lo], axis=1, return_inverse=True)
@@ -169,17 +172,13 @@ def scan(texts: list[bytes], q: Queries) -> tuple[np.ndarray, ...]:
     picked, row = _spread(starts[held[1]], starts[held[1] + 1])
     pairs = np.unique(np.stack([held[0][row], items[1][picked]]), axis=1)
 
-    # the longest match of each document: of the matches that reach a window
-    full = np.flatnonzero(length >= q.need)
-    ways, first = np.unique(np.stack([end_lo, end_hi, length])[:, full], axis=1, return_index=True)
-    where, way = _spread(ways[0], ways[1])
-    spot = places[order[where]]
+    # the longest match of each document, below a window too
+    met = np.flatnonzero(reach)
+    spot = places[order[met]]
     in_doc = np.searchsorted(firsts, spot, side="right") - 1
-    rank = np.lexsort((spot, -ways[2][way], in_doc))
+    rank = np.lexsort((spot, -reach[met], in_doc))
     top = rank[np.concatenate(([True], np.diff(in_doc[rank]) != 0))] if rank.size else rank
-    best[0][in_doc[top]] = ways[2][way[top]]
-    best[1][in_doc[top]] = q.item[full[first[way[top]]]]
-    best[2][in_doc[top]] = spot[top] - firsts[in_doc[top]]
+    best[0][in_doc[top]], best[1][in_doc[top]], best[2][in_doc[top]] = reach[met[top]], q.item[source[met[top]]], spot[top] - firsts[in_doc[top]]
     return counts, doc, begin, begin + windows[2][which], pairs[0], pairs[1], *best
 
 
