@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import chat, decontam, fertility, lm_mix, piece_fst, sharding, simhash, tokenids, toxicity, warc
+from starloom.llm import chat, decontam, fertility, lm_mix, piece_fst, pivot_index, ptolemy, sharding, simhash, spelling, tokenids, toxicity, warc
 from starloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,3 +156,66 @@ def op9_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_simple8b_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents, written in Simple-8b blocks and read back."""
     return tokenids.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
+# --- 11 embedding near-duplicates
+
+@query
+def op11_pivot_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of all vectors at a cosine of 0.9 or more, and what they reach."""
+    return pivot_index.near_groups(table(spark, sf_dir, "embeddings"), pivot_index.Settings(cosine=0.9))
+
+
+_SOUND = "len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0"
+
+ORACLES["op11_pivot_permutation"] = f"""
+WITH RECURSIVE e AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN {_SOUND} AND len(list_filter(embedding, x -> x <> 0)) > 0 THEN list_transform(embedding, x -> CAST(x AS DOUBLE)) END AS v
+  FROM embeddings),
+links AS (SELECT a.r AS a, b.r AS b FROM e a JOIN e b ON a.r <> b.r AND len(a.v) = len(b.v) WHERE list_cosine_similarity(a.v, b.v) >= 0.9),
+reach AS (SELECT r AS a, r AS b FROM e UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least AS (SELECT reach.a AS r, min(e.vec_id) AS component_id FROM reach JOIN e ON e.r = reach.b GROUP BY reach.a),
+n AS (SELECT a AS r, count(*) AS n_links FROM links GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(n.n_links, 0) AS BIGINT) AS n_links, least.component_id, coalesce(e.vec_id = least.component_id, false) AS kept
+FROM e JOIN least USING (r) LEFT JOIN n USING (r)
+"""
+
+
+# --- 12 spelling variants
+
+@query
+def op12_fm_index_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with the more frequent words one edit away that they are variants of."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+# --- 13 centroid clustering
+
+@query
+def op13_ptolemaic_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors in 16 clusters after three rounds, in exact integers."""
+    out = ptolemy.report(table(spark, sf_dir, "embeddings"), ptolemy.Settings(clusters=16, rounds=3, seed=1))
+    return out.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+                      F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256).alias("centroid_sha256"))
+
+
+def _round(k: int) -> str:
+    """Assignment to the centroids ``c{k}`` and, from it, the centroids ``c{k + 1}``."""
+    return f"""
+d{k} AS (SELECT p.r, c.cluster, sum((p.v - c.v) * (p.v - c.v)) AS distance FROM parts p JOIN c{k} c USING (i) GROUP BY p.r, c.cluster),
+a{k} AS (SELECT r, min(distance) AS distance, arg_min(cluster, (distance, cluster)) AS cluster FROM d{k} GROUP BY r),
+m{k} AS (SELECT a.cluster, p.i, sum(p.v) AS s, count(*) AS n FROM a{k} a JOIN parts p USING (r) GROUP BY a.cluster, p.i),
+c{k + 1} AS (SELECT c.cluster, c.i, CASE WHEN m.n IS NULL THEN c.v ELSE (m.s - ((m.s % m.n) + m.n) % m.n) // m.n END AS v
+             FROM c{k} c LEFT JOIN m{k} m USING (cluster, i))"""
+
+
+ORACLES["op13_ptolemaic_clusters"] = f"""
+WITH e AS (SELECT row_number() OVER () AS r, vec_id, embedding FROM embeddings WHERE len(embedding) = 64 AND {_SOUND}),
+parts AS (SELECT r, i, CAST(floor(64 * CAST(embedding[i] AS DOUBLE)) AS HUGEINT) AS v FROM e, (SELECT unnest(range(1, 65)) AS i)),
+first AS (SELECT r, row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS cluster FROM e QUALIFY cluster < 16),
+c0 AS (SELECT first.cluster, parts.i, parts.v FROM first JOIN parts USING (r)),{",".join(_round(k) for k in range(4))},
+digest AS (SELECT cluster, sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM c3 GROUP BY cluster)
+SELECT e.vec_id, CAST(a.cluster AS INTEGER) AS cluster, CAST(a.distance AS BIGINT) AS distance,
+       CAST(sum(a.distance) OVER (PARTITION BY a.cluster) AS BIGINT) AS cluster_inertia, CAST(sum(a.distance) OVER () AS BIGINT) AS inertia, digest.centroid_sha256
+FROM a3 a JOIN e USING (r) JOIN digest USING (cluster)
+"""
