@@ -166,11 +166,11 @@ def op11_pivot_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivot_index.near_groups(table(spark, sf_dir, "embeddings"), pivot_index.Settings(cosine=0.9))
 
 
-_SOUND = "len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0"
+_SOUND = "len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
 
 ORACLES["op11_pivot_permutation"] = f"""
 WITH RECURSIVE e AS (
-  SELECT row_number() OVER () AS r, vec_id, CASE WHEN {_SOUND} AND len(list_filter(embedding, x -> x <> 0)) > 0 THEN list_transform(embedding, x -> CAST(x AS DOUBLE)) END AS v
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN {_SOUND} AND len(list_filter(embedding, lambda x: x <> 0)) > 0 THEN list_transform(embedding, lambda x: CAST(x AS DOUBLE)) END AS v
   FROM embeddings),
 links AS (SELECT a.r AS a, b.r AS b FROM e a JOIN e b ON a.r <> b.r AND len(a.v) = len(b.v) WHERE list_cosine_similarity(a.v, b.v) >= 0.9),
 reach AS (SELECT r AS a, r AS b FROM e UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
