@@ -77,6 +77,20 @@ def normalize_text(x: str | Column) -> Column:
     return F.when(s == "", F.lit(BLANK)).otherwise(s)
 
 
+def normalized(text: str | None) -> str:
+    """``normalize_text`` of a constant, for seeds that become part of a plan."""
+    s = (text or "").upper().translate(str.maketrans(_TRANSLATE_FROM[:len(_TRANSLATE_TO)], _TRANSLATE_TO, _DROP_CHARS))
+    for _ in range(4):
+        s = s.replace("  ", " ")
+    return s.strip(" ") or BLANK
+
+
+def normalized_country(text: str | None) -> str:
+    """``normalize_country`` of a constant."""
+    s = normalized(text)
+    return "UNITED STATES" if s in COUNTRY_US_SYNONYMS else "UNITED KINGDOM" if s in COUNTRY_UK_SYNONYMS else s
+
+
 def normalize_country(x: str | Column) -> Column:
     """normalize_text plus folding of US / UK synonyms."""
     s = normalize_text(x)
