@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions.dates import date_key
 
+
 def seed_broadcast(df: DataFrame) -> DataFrame:
     """Broadcast a seed relation built from fixed literal rows (constant size)."""
     return F.broadcast(df)
@@ -36,6 +37,16 @@ def nullsafe_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str,
     return out.drop(*names, *[n + "_r" for n in names])
 
 
+def distinct_combinations(df: DataFrame, attrs: Sequence[str], aggregates: Sequence[Column] = ()) -> DataFrame:
+    """One row for each combination of ``attrs`` under ``nullsafe_join``'s equality, with ``aggregates``.
+
+    Of a NULL and an empty text in one place the row holds the empty text.
+    """
+    keys = [nullsafe_key(a).alias(f"__k{i}") for i, a in enumerate(attrs)]
+    grouped = df.groupBy(*keys).agg(*[F.min(F.col(a)).alias(a) for a in attrs], *aggregates)
+    return grouped.drop(*[f"__k{i}" for i in range(len(attrs))])
+
+
 def validity_join(facts: DataFrame, versions: DataFrame, key: str, at: str,
                   start: str = "start_date", end: str = "end_date",
                   how: str = "inner") -> DataFrame:

@@ -14,7 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.operators.joins import top1_per_key
+from starloom.operators.joins import distinct_combinations, top1_per_key
+
 
 def last_state_per_day(df: DataFrame, key: str, ts: str, tiebreak: str,
                        state_cols: Sequence[str], day_col: str = "state_date") -> DataFrame:
@@ -122,9 +123,13 @@ def lag_within_key(df: DataFrame, key: str, order: Sequence[str], cols: Sequence
 def first_seen_combinations(df: DataFrame, attrs: Sequence[str], date_col: str,
                             first: str = "first_seen", null_date: str = "1900-01-01") -> DataFrame:
     """Distinct attribute combinations with the date each was first seen
-    (a missing date counts as ``null_date``).  Partial aggregation."""
+    (a missing date counts as ``null_date``).  Partial aggregation.
+
+    NULL and the empty text are one value, as ``nullsafe_join`` has it, so a
+    fact finds one row for its combination; the row holds the empty text if
+    it occurs, else NULL."""
     d = F.coalesce(F.col(date_col).cast("date"), F.lit(null_date).cast("date"))
-    return df.groupBy(*attrs).agg(F.min(d).alias(first))
+    return distinct_combinations(df, attrs, [F.min(d).alias(first)])
 
 
 def latest_per_key(df: DataFrame, key: str, order: Sequence[str], payload: Sequence[str]) -> DataFrame:

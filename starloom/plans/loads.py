@@ -135,3 +135,21 @@ def dq_foreign_key_orphans(spark, sf_dir):
     o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
     dirty = o.withColumn("o_custkey", F.when(F.col("o_orderkey") % 7 == 0, F.col("o_custkey") + 100000000).otherwise(F.col("o_custkey")))
     return quality.orphans(dirty, read_table(spark, sf_dir, "customer", "c_custkey"), ["o_custkey"], ["c_custkey"])
+
+
+# Combinations whose attributes are NULL in some rows and empty in others, and a fact with one row for each event.
+@register("combo_null_empty", oracle="""
+WITH e AS (SELECT event_id, event_type, CAST(ts AS DATE) AS d, CASE event_id % 4 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE event_type END AS kind,
+                  CASE event_id % 6 WHEN 0 THEN '' WHEN 3 THEN NULL ELSE 'u' || CAST(user_id % 3 AS VARCHAR) END AS band FROM events),
+g AS (SELECT event_type, COALESCE(kind, '') AS k, COALESCE(band, '') AS b, MIN(d) AS first_seen FROM e GROUP BY 1, 2, 3),
+combo AS (SELECT ROW_NUMBER() OVER (ORDER BY event_type, k, b) AS combo_id, * FROM g)
+SELECT e.event_id, c.combo_id, c.first_seen FROM e JOIN combo c ON c.event_type = e.event_type AND c.k = COALESCE(e.kind, '') AND c.b = COALESCE(e.band, '')
+""")
+def combo_null_empty(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events", "event_id", "event_type", "ts", "user_id")
+    kind = F.when(F.col("event_id") % 4 == 1, "").when(F.col("event_id") % 4 > 1, F.col("event_type"))
+    band = F.when(F.col("event_id") % 6 == 0, "").when(F.col("event_id") % 6 != 3, F.concat(F.lit("u"), (F.col("user_id") % 3).cast("string")))
+    ev = ev.select("event_id", "event_type", "ts", kind.alias("kind"), band.alias("band"))
+    attrs = ["event_type", "kind", "band"]
+    combos = dense_ids(first_seen_combinations(ev, attrs, "ts"), attrs, "combo_id").select("combo_id", "first_seen", *[F.col(a).alias(f"c_{a}") for a in attrs])
+    return nullsafe_join(ev, combos, [(a, f"c_{a}") for a in attrs]).select("event_id", "combo_id", "first_seen")
