@@ -5,4 +5,4 @@ from starloom.plans.registry import ORACLES, QUERIES
 
 def load_all() -> None:
     """Import every plan module so its queries register themselves."""
-    from starloom.plans import basic, business, dimensional, loads, relational, resolution, scalar  # noqa: F401
+    from starloom.plans import basic, business, dimensional, integration, loads, relational, resolution, scalar  # noqa: F401

@@ -25,10 +25,28 @@ def read_csv_text(spark: SparkSession, path: str, columns: Sequence[str] | None
     return reader.csv(path)
 
 
+def _located(spark: SparkSession, path: str):
+    """A path and the file system that its scheme names, as Spark's own readers see it."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists in the store that its scheme names."""
-    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(found)
+    found, store = _located(spark, path)
+    return store.exists(found)
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder."""
+    found, store = _located(spark, path)
+    return sorted(x.getPath().getName() for x in store.listStatus(found))
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Remove a file or a folder with all that is in it; whether it was there."""
+    found, store = _located(spark, path)
+    return store.delete(found, True)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
