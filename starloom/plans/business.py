@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 
 from starloom.functions import flag, month_number, safe_ratio, weighted_avg
 from starloom.operators import reports
-from starloom.operators.dims import dim_date
-from starloom.operators.matview import MaterializedAggregate
-from starloom.plans.dimensional import MONTHLY_SQL, QUARTER_SQL, YEARLY_SQL, monthly_fact_df, quarter_fact_df, yearly_fact_df
+from starloom.operators.matview import ManifestView, MaterializedAggregate
+from starloom.plans.dimensional import MONTHLY_SQL, QUARTER_SQL, YEARLY_SQL
 from starloom.plans.registry import register, sql_div_round, sql_pct
-from starloom.sources.tables import read_table
+from starloom.plans.warehouse import Warehouse, in_year
+from starloom.sources.tables import read_table, table_path
 
 
 # ---------------------------------------------------------------------------
@@ -34,7 +34,7 @@ def q6_ratio_to_report(spark, sf_dir):
 
 
 # ---------------------------------------------------------------------------
-# Q1: materialised aggregate (saved, then read back) + share texts.
+# Q1: materialised aggregate (kept, and refreshed from new files only) + share texts.
 # ---------------------------------------------------------------------------
 def q1_matview() -> MaterializedAggregate:
     return MaterializedAggregate(
@@ -68,16 +68,18 @@ SELECT c_mktsegment, o_orderpriority, l_returnflag,
 FROM mv
 """)
 def q1_mv_shares(spark, sf_dir):
-    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_returnflag", "l_linestatus", "l_shipdate")
-    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderpriority")
-    c = read_table(spark, sf_dir, "customer", "c_custkey", "c_mktsegment")
-    facts = (li.filter(_year_range("l_shipdate", 1997))
-             .join(o, li["l_orderkey"] == o["o_orderkey"])
-             .join(c, F.col("o_custkey") == c["c_custkey"]))
+    w = Warehouse(spark, sf_dir)
+    o = w.scan("orders", "o_orderkey", "o_custkey", "o_orderpriority")
+    c = w.scan("customer", "c_custkey", "c_mktsegment")
+
+    def year_1997(lines):
+        return (lines.select("l_orderkey", "l_returnflag", "l_linestatus", "l_shipdate").filter(_year_range("l_shipdate", 1997))
+                .join(o, F.col("l_orderkey") == o["o_orderkey"]).join(c, F.col("o_custkey") == c["c_custkey"]))
+
     q1_mv = q1_matview()
-    path = q1_mv.build(spark, facts, "mv_q1")
-    mv = spark.read.parquet(path)
-    out = mv.select(*q1_mv.keys, *[F.col(n).cast("bigint").alias(n) for n in q1_mv.sums])
+    view = ManifestView(spark, w.folder("q1_view", "orders", "customer"), q1_mv, table_path(sf_dir, "lineitem"), year_1997)
+    view.refresh()
+    out = view.read().select(*q1_mv.keys, *[F.col(n).cast("bigint").alias(n) for n in q1_mv.sums])
     return reports.with_percent_texts(out, {"returned_share": ("total_returned", "total_observations"),
                                             "closed_share": ("total_closed", "total_observations")}) \
         .orderBy(*q1_mv.keys)
@@ -86,9 +88,11 @@ def q1_mv_shares(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Q2: person-weighted monthly mean by month x status (hidden sort column).
 # ---------------------------------------------------------------------------
-def _month_dim(spark, sf_dir):
-    o = read_table(spark, sf_dir, "orders", "o_orderdate")
-    return dim_date(o, "o_orderdate").select("date_key", "year", "month", "month_name")
+def _months_of(spark, sf_dir, year):
+    """The monthly fact of one year with its months, from that year's partition."""
+    w = Warehouse(spark, sf_dir)
+    dates = w.dates("orders", "o_orderdate").select("date_key", "year", "month", "month_name")
+    return in_year(w.fact("monthly"), dates, "month_key", year)
 
 
 @register("q2_weighted_monthly_avg", oracle=MONTHLY_SQL + f""",
@@ -102,9 +106,7 @@ FROM m WHERE year = 1997
 GROUP BY year, month, month_name, o_orderstatus
 """)
 def q2_weighted_monthly_avg(spark, sf_dir):
-    mf = monthly_fact_df(spark, sf_dir)
-    md = _month_dim(spark, sf_dir).filter(F.col("year") == 1997)
-    j = mf.join(md, mf["month_key"] == md["date_key"])
+    j = _months_of(spark, sf_dir, 1997)
     g = j.groupBy("year", "month", "month_name", "o_orderstatus").agg(
         F.sum("total_customers").alias("total_customers"),
         weighted_avg("avg_price", "total_customers").alias("avg_price"))
@@ -129,9 +131,7 @@ SELECT year, month_name, MAX(CASE WHEN o_orderstatus = 'F' THEN ratio END) AS st
 FROM r GROUP BY year, month_name
 """)
 def q3_pivot(spark, sf_dir):
-    mf = monthly_fact_df(spark, sf_dir)
-    md = _month_dim(spark, sf_dir).filter(F.col("year") == 1997)
-    j = mf.join(md, mf["month_key"] == md["date_key"])
+    j = _months_of(spark, sf_dir, 1997)
     ratio = safe_ratio(F.sum(F.col("high_value_rate").cast("decimal(18,2)")), F.sum("total_customers"))
     per = j.groupBy("year", "month_name", "o_orderstatus").agg(ratio.alias("ratio"))
     piv = reports.pivot_max(per, ["year", "month_name"], "o_orderstatus", ["F", "O"], "ratio")
@@ -190,10 +190,9 @@ SELECT year, quarter, quarter_name, s_nationkey, l_returnflag, CAST(total_lines
 FROM g
 """)
 def q5_rank_window(spark, sf_dir):
-    qf = quarter_fact_df(spark, sf_dir)
-    li = read_table(spark, sf_dir, "lineitem", "l_shipdate")
-    qd = dim_date(li, "l_shipdate").select("date_key", "year", "quarter", "quarter_name").filter(F.col("year") == 1997)
-    j = qf.join(qd, qf["quarter_key"] == qd["date_key"])
+    w = Warehouse(spark, sf_dir)
+    dates = w.dates("lineitem", "l_shipdate").select("date_key", "year", "quarter", "quarter_name")
+    j = in_year(w.fact("quarterly"), dates, "quarter_key", 1997)
     g = j.groupBy("year", "quarter", "quarter_name", "s_nationkey", "l_returnflag").agg(
         F.sum("total_lines").alias("total_lines"),
         F.sum("discounted_lines").alias("total_discounted"),
@@ -223,13 +222,13 @@ FROM f WHERE year = 1997
 GROUP BY GROUPING SETS ((year, region_name), (year, region_name, nation_name))
 """)
 def q7_grouping_sets(spark, sf_dir):
-    yf = yearly_fact_df(spark, sf_dir)
+    w = Warehouse(spark, sf_dir)
+    yf = in_year(w.fact("yearly"), w.dates("orders", "o_orderdate").select("date_key", "year"), "year_key", 1997)
     n = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
     r = read_table(spark, sf_dir, "region", "r_regionkey", "r_name")
     loc = n.join(r, n["n_regionkey"] == r["r_regionkey"]).select(
         "n_nationkey", F.col("r_name").alias("region_name"), F.col("n_name").alias("nation_name"))
-    f = yf.join(loc, yf["c_nationkey"] == loc["n_nationkey"]) \
-          .withColumn("year", (F.col("year_key") / 10000).cast("int")).filter(F.col("year") == 1997)
+    f = yf.join(loc, yf["c_nationkey"] == loc["n_nationkey"])
     out = reports.drilldown(f, ["year", "region_name"], "nation_name",
                             {"total_urgent": F.sum("count_urgent").cast("bigint"),
                              "total_high_value": F.sum("count_high_value").cast("bigint")},

@@ -5,16 +5,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from starloom.functions import decimal_avg, flag, not_found_default, row_hash
+from starloom.functions import flag, not_found_default, row_hash
 from starloom.operators import dedup, quality
 from starloom.operators.conform import SourceSpec, add_column_if_absent, conform_columns, integrate
-from starloom.operators.dims import dim_date, hierarchy_dim, year_keys
-from starloom.operators.joins import period_start_join, validity_join
+from starloom.operators.dims import dim_date, hierarchy_dim
+from starloom.operators.joins import validity_join
 from starloom.operators.keys import dense_ids
 from starloom.operators.matview import MaterializedAggregate
 from starloom.operators.scd import (first_seen_combinations, lag_within_key, last_state_per_day,
                                     latest_per_key, scd2_versions)
+from starloom.plans import warehouse
 from starloom.plans.registry import register, sql_avg_dec
+from starloom.plans.warehouse import Warehouse
 from starloom.session import scratch_path
 from starloom.sources.files import append_table, read_csv_text, write_csv
 from starloom.sources.tables import read_table
@@ -221,32 +223,7 @@ FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN part p ON l.l_
 WHERE l.l_shipdate IS NOT NULL
 """)
 def observation_fact(spark, sf_dir):
-    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey",
-                    "l_shipdate", "l_returnflag").withColumn("ship_date", F.col("l_shipdate").cast("date"))
-    dd = dim_date(li, "ship_date").select("date_key", F.col("full_date").alias("ship_date"))
-    s = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
-    p = read_table(spark, sf_dir, "part", "p_partkey", "p_brand")
-    f = li.join(dd, "ship_date").join(s, li["l_suppkey"] == s["s_suppkey"]).join(p, li["l_partkey"] == p["p_partkey"])
-    return f.select("l_orderkey", "l_linenumber", "date_key", "s_nationkey", "p_brand",
-                    F.lit(1).alias("observation_count"), "l_returnflag")
-
-
-def _orders_with_nation(spark, sf_dir):
-    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
-                   "o_orderdate", "o_orderpriority").withColumn("order_date", F.col("o_orderdate").cast("date"))
-    c = read_table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
-    return o.join(c, o["o_custkey"] == c["c_custkey"])
-
-
-def monthly_fact_df(spark, sf_dir):
-    on = _orders_with_nation(spark, sf_dir)
-    dd = dim_date(on, "order_date")
-    base = period_start_join(on, dd, "order_date", "month", "month_key")
-    return base.groupBy("c_nationkey", "o_orderstatus", "month_key").agg(
-        F.countDistinct("o_custkey").alias("total_customers"),
-        decimal_avg("o_totalprice").alias("avg_price"),
-        decimal_avg(flag(F.col("o_totalprice") >= 250000)).alias("high_value_rate"),
-        F.sum(flag(F.col("o_orderpriority") == "1-URGENT")).cast("bigint").alias("urgent_count"))
+    return warehouse.observation_fact(Warehouse(spark, sf_dir))
 
 
 MONTHLY_SQL = f"""
@@ -269,20 +246,7 @@ FROM base GROUP BY 1, 2, 3)
 # Monthly summary fact.
 @register("monthly_fact", oracle=MONTHLY_SQL + "SELECT * FROM monthly")
 def monthly_fact(spark, sf_dir):
-    return monthly_fact_df(spark, sf_dir)
-
-
-def quarter_fact_df(spark, sf_dir):
-    li = read_table(spark, sf_dir, "lineitem", "l_suppkey", "l_shipdate", "l_returnflag", "l_discount", "l_tax") \
-        .withColumn("ship_date", F.col("l_shipdate").cast("date"))
-    s = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
-    dd = dim_date(li, "ship_date")
-    base = period_start_join(li.join(s, li["l_suppkey"] == s["s_suppkey"]), dd, "ship_date", "quarter", "quarter_key")
-    return base.groupBy("quarter_key", "s_nationkey", "l_returnflag").agg(
-        F.countDistinct("l_suppkey").alias("total_suppliers"),
-        F.count(F.lit(1)).alias("total_lines"),
-        F.sum(flag(F.col("l_discount") >= 0.05)).cast("bigint").alias("discounted_lines"),
-        F.sum(flag(F.col("l_tax") >= 0.04)).cast("bigint").alias("taxed_lines"))
+    return warehouse.monthly_fact(Warehouse(spark, sf_dir))
 
 
 QUARTER_SQL = """
@@ -303,16 +267,7 @@ FROM base GROUP BY 1, 2, 3)
 # Quarterly summary fact (quarter start must be a date seen).
 @register("quarter_fact", oracle=QUARTER_SQL + "SELECT * FROM quarterly")
 def quarter_fact(spark, sf_dir):
-    return quarter_fact_df(spark, sf_dir)
-
-
-def yearly_fact_df(spark, sf_dir):
-    on = _orders_with_nation(spark, sf_dir)
-    yk = year_keys(dim_date(on, "order_date"))
-    base = on.join(yk, F.year("order_date") == yk["year"])
-    return base.groupBy("c_nationkey", "year_key").agg(
-        F.sum(flag(F.col("o_orderpriority") == "1-URGENT")).cast("bigint").alias("count_urgent"),
-        F.sum(flag(F.col("o_totalprice") >= 250000)).cast("bigint").alias("count_high_value"))
+    return warehouse.quarter_fact(Warehouse(spark, sf_dir))
 
 
 YEARLY_SQL = """
@@ -331,7 +286,7 @@ FROM on_ JOIN yk ON yk.y = year(on_.order_date) GROUP BY 1, 2)
 # Yearly fact keyed by the first date seen in the year.
 @register("yearly_fact", oracle=YEARLY_SQL + "SELECT * FROM yearly")
 def yearly_fact(spark, sf_dir):
-    return yearly_fact_df(spark, sf_dir)
+    return warehouse.yearly_fact(Warehouse(spark, sf_dir))
 
 
 # ---------------------------------------------------------------------------

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from starloom.functions.codes import band
+from starloom.functions.codes import band, flag
 from starloom.functions.dates import date_from_digits, iso_date_text
 from starloom.functions.text import not_found_default
 from starloom.operators.dims import hierarchy_dim
 from starloom.operators.integration import Layout, integrate_load
+from starloom.operators.matview import ManifestView, MaterializedAggregate
 from starloom.plans.registry import register
 from starloom.session import scratch_path
+from starloom.sources.files import append_table
 from starloom.sources.tables import read_table
 from starloom.sources.versions import VersionedTable
 
@@ -18,14 +20,15 @@ TARGET = [("source_system", "string"), ("person_id", "bigint"), ("full_date", "d
 ATTRIBUTES = ["kind", "band", "amount"]
 BALANCES = [("low", 0, 2499), ("middle", 2500, 7499), ("high", 7500, None)]
 
-#: Persons and dates; dates as digits and no persons; neither.
-LAYOUTS = {
-    "events": Layout("events", {"person_id": F.col("user_id"), "full_date": F.col("ts"), "kind": not_found_default("event_type"), "amount": F.floor("value")},
-                     ["person_id", iso_date_text("full_date"), *ATTRIBUTES], "Not Found"),
-    "orders": Layout("orders", {"full_date": date_from_digits("digits"), "kind": not_found_default("o_orderstatus"), "band": not_found_default("o_orderpriority"),
-                                "amount": F.floor(F.col("o_totalprice") / 100000)}, [iso_date_text("full_date"), *ATTRIBUTES], "Not Found"),
-    "customer": Layout("customer", {"kind": not_found_default("c_mktsegment"), "band": band("balance", BALANCES)}, [F.lit(""), *ATTRIBUTES], "Not Found"),
-}
+def source_layouts() -> dict[str, Layout]:
+    """Persons and dates; dates as digits and no persons; neither."""
+    return {
+        "events": Layout("events", {"person_id": F.col("user_id"), "full_date": F.col("ts"), "kind": not_found_default("event_type"), "amount": F.floor("value")},
+                         ["person_id", iso_date_text("full_date"), *ATTRIBUTES], "Not Found"),
+        "orders": Layout("orders", {"full_date": date_from_digits("digits"), "kind": not_found_default("o_orderstatus"), "band": not_found_default("o_orderpriority"),
+                                    "amount": F.floor(F.col("o_totalprice") / 100000)}, [iso_date_text("full_date"), *ATTRIBUTES], "Not Found"),
+        "customer": Layout("customer", {"kind": not_found_default("c_mktsegment"), "band": band("balance", BALANCES)}, [F.lit(""), *ATTRIBUTES], "Not Found"),
+    }
 
 
 # Three sources of different layouts, loaded in full, by delta, and by delta once more.
@@ -50,9 +53,9 @@ def integrate_delta(spark, sf_dir):
     orders = orders.withColumn("digits", F.date_format("o_orderdate", "Mddyyyy"))  # the leading zero is lost, as in the files
     customers = read_table(spark, sf_dir, "customer", "c_custkey", "c_mktsegment", "c_acctbal").withColumn("balance", F.floor("c_acctbal").cast("string"))
     table = VersionedTable(spark, scratch_path(spark, "integrated"))
-    first = [(events.filter("event_id % 3 <> 0"), LAYOUTS["events"]), (orders.filter("o_orderkey % 2 = 0"), LAYOUTS["orders"]),
-             (customers.filter("c_custkey % 5 = 0"), LAYOUTS["customer"])]
-    whole = [(events, LAYOUTS["events"]), (orders, LAYOUTS["orders"]), (customers, LAYOUTS["customer"])]
+    by = source_layouts()
+    first = [(events.filter("event_id % 3 <> 0"), by["events"]), (orders.filter("o_orderkey % 2 = 0"), by["orders"]), (customers.filter("c_custkey % 5 = 0"), by["customer"])]
+    whole = [(events, by["events"]), (orders, by["orders"]), (customers, by["customer"])]
     for no, (mode, sources) in enumerate([("full", first), ("delta", whole), ("delta", whole)], start=1):
         integrate_load(table, sources, TARGET, mode, stamps={"load_no": F.lit(no)})
     return table.read().withColumn("stamped", F.col("load_timestamp") <= F.current_timestamp()).drop("load_timestamp")
@@ -73,3 +76,21 @@ def dim_location_swap(spark, sf_dir):
     before = table.read()
     table.swap(hierarchy_dim(n, r, "n_regionkey", "r_regionkey", names))
     return before.select(F.lit("before").alias("seen"), "*").unionByName(table.read().select(F.lit("after").alias("seen"), "*"))
+
+
+# A stored aggregate refreshed from the files that are new; the last refresh finds none.
+@register("mv_manifest_refresh", oracle="""
+SELECT event_type, COUNT(*) AS n_events, COUNT(user_id) AS n_known, CAST(SUM(CASE WHEN value >= 20 THEN 1 ELSE 0 END) AS BIGINT) AS n_large, 'new,new,none' AS refreshes
+FROM events GROUP BY event_type
+""")
+def mv_manifest_refresh(spark, sf_dir):
+    events = read_table(spark, sf_dir, "events", "event_id", "event_type", "user_id", "value")
+    source = scratch_path(spark, "mv_source")
+    aggregate = MaterializedAggregate(["event_type"], {"n_known": flag(F.col("user_id").isNotNull()), "n_large": flag(F.col("value") >= 20)}, "n_events")
+    view = ManifestView(spark, scratch_path(spark, "mv_manifest"), aggregate, source)
+    append_table(events.filter("event_id % 4 <> 3"), source)
+    refreshes = [view.refresh()]
+    append_table(events.filter("event_id % 4 = 3"), source)
+    refreshes += [view.refresh(), view.refresh()]
+    said = ",".join("new" if n else "none" for n in refreshes)
+    return view.read().select("event_type", "n_events", F.col("n_known").cast("long").alias("n_known"), F.col("n_large").cast("long").alias("n_large"), F.lit(said).alias("refreshes"))

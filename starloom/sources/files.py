@@ -43,6 +43,21 @@ def list_folder(spark: SparkSession, path: str) -> list[str]:
     return sorted(x.getPath().getName() for x in store.listStatus(found))
 
 
+def data_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """Path, length and time of change of every file of a table, as Spark's readers would list it (names with ``_`` or ``.`` first are left out)."""
+    found, store = _located(spark, path)
+    if not store.exists(found):
+        return []
+    out, todo = [], [store.getFileStatus(found)]
+    while todo:
+        status = todo.pop()
+        if status.isDirectory():
+            todo += [x for x in store.listStatus(status.getPath()) if not x.getPath().getName().startswith(("_", "."))]
+        else:
+            out.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return sorted(out)
+
+
 def remove_path(spark: SparkSession, path: str) -> bool:
     """Remove a file or a folder with all that is in it; whether it was there."""
     found, store = _located(spark, path)

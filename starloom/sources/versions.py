@@ -13,7 +13,7 @@ One writer at a time.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -41,33 +41,43 @@ class VersionedTable:
     def exists(self) -> bool:
         return bool(self.pointers())
 
-    def read(self) -> DataFrame:
-        """The current version, fixed when this is called."""
+    def _current(self) -> tuple[int, str, str]:
         known = self.pointers()
         if not known:
             raise FileNotFoundError(f"no version of {self.path}")
-        _, folder, schema = known[-1]
+        return known[-1]
+
+    def read(self) -> DataFrame:
+        """The current version, fixed when this is called."""
+        _, folder, schema = self._current()
         return self.spark.read.schema(StructType.fromDDL(schema)).parquet(f"{self.path}/{folder}")
 
-    def swap(self, df: DataFrame, partition_by: Sequence[str] = ()) -> int:
+    def read_beside(self, name: str) -> DataFrame:
+        """A table that was written beside the current version."""
+        return self.spark.read.parquet(f"{self.path}/{self._current()[1]}.{name}")
+
+    def swap(self, df: DataFrame, partition_by: Sequence[str] = (), beside: Mapping[str, DataFrame] | None = None) -> int:
         """Write ``df`` as the next version, let it count, remove versions that no longer do; its number.
 
-        ``df`` may read the current version.
+        ``df`` may read the current version.  Tables in ``beside`` change in
+        the same moment.
         """
         known = self.pointers()
         version = known[-1][0] + 1 if known else 1
         folder = f"v{version}-{uuid.uuid4().hex[:8]}"
         writer = df.write.mode("errorifexists")
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{self.path}/{folder}")
+        for name, more in (beside or {}).items():
+            more.write.mode("errorifexists").parquet(f"{self.path}/{folder}.{name}")
         row = [(version, folder, df.schema.toDDL())]
         self.spark.createDataFrame(row, POINTER).coalesce(1).write.mode("append").parquet(f"{self.path}/pointers")
         kept = {f for _, f, _ in [*known, *map(tuple, row)][-self.keep:]}
         for name in list_folder(self.spark, self.path):
-            if name.startswith("v") and name not in kept:
+            if name.startswith("v") and name.split(".")[0] not in kept:
                 remove_path(self.spark, f"{self.path}/{name}")
         return version
 
     def append(self, df: DataFrame) -> None:
         """Add rows to the current version (``INSERT ... SELECT``); its columns stay. ``df`` may read it."""
         now = self.read()
-        df.select(*now.columns).write.mode("append").parquet(f"{self.path}/{self.pointers()[-1][1]}")
+        df.select(*now.columns).write.mode("append").parquet(f"{self.path}/{self._current()[1]}")
