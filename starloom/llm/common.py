@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import gc
+from collections.abc import Callable, Hashable, Iterable, Iterator
+from typing import Any
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -12,10 +14,31 @@ from pyspark.sql import functions as F
 from starloom.session import scratch_path
 from starloom.sources.tables import read_table
 
+#: Bytes, by estimate, of words or chunks that an operator remembers in a Python worker; beyond, it starts anew.
+MEMO_BYTES = 96 << 20
+#: What a remembered word takes beside its own bytes and its result's: two objects and a dictionary's entry.
+MEMO_ENTRY = 220
+
 #: Rows per Arrow batch sent to a Python worker. Long texts make Spark's default of 10,000 too heavy.
 ARROW_ROWS = 512
 
 
+_HELD: dict[Hashable, Any] = {}
+
+
+def held(key: Hashable, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, kept in this Python worker for ``key``.
+
+    Workers outlive stages.  One keeps the state of one operator: asking
+    for another drops it, so the stages of a job don't add up.
+    """
+    if key not in _HELD:
+        _HELD.clear()
+        gc.collect()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, sf_dir, name)
 
@@ -28,6 +51,16 @@ def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
         spark.conf.set(key, str(rows))
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` with its columns named ``c0, c1, ...``, so that an operator's own columns clash with none; ``toDF`` names them back."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
+def number_of(df: DataFrame, column: str) -> str:
+    """The name that ``numbered`` gives a column."""
+    return f"c{df.columns.index(column)}"
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh folder below ``spark.checkpoint.dir`` and read it back (cuts the lineage)."""
     path = scratch_path(df.sparkSession, name)

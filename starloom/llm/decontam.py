@@ -16,7 +16,6 @@ shuffled.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.common import bytes_of, pieces, small_batches
+from starloom.llm.common import bytes_of, held, number_of, numbered, pieces, small_batches
 
 #: Separators become blanks, A-Z lower case; the rest of ASCII and all other bytes are word bytes.
 WORDS = bytes(32 if b < 0x30 or 0x3A <= b <= 0x40 or 0x5B <= b <= 0x60 or 0x7B <= b <= 0x7F else b + 32 if 0x41 <= b <= 0x5A else b
@@ -182,9 +181,8 @@ def scan(texts: list[bytes], q: Queries) -> tuple[np.ndarray, ...]:
     return counts, doc, begin, begin + windows[2][which], pairs[0], pairs[1], *best
 
 
-@lru_cache(maxsize=2)
-def _compiled(key: tuple, block) -> Queries:
-    return Queries(block.value, key[1])
+def _compiled(block, window: int) -> Queries:
+    return held(("decontam", block, window), lambda: Queries(block.value, window))
 
 
 def blocks(bench: DataFrame, item_id: str, text: str, most: int) -> Iterator[list[tuple[str, bytes]]]:
@@ -207,9 +205,11 @@ def annotate(docs: DataFrame, bench: DataFrame, text: str = "text", item_id: str
 
     Null and empty texts have no words and no hit.  A benchmark text without
     words has no window; one without an id is listed as ``null``; repeated
-    items count once.  An empty benchmark hits nothing.
+    items count once.  An empty benchmark hits nothing.  Repeated documents
+    are searched each; columns of ``docs`` named as those added give way.
     """
     spark: SparkSession = docs.sparkSession
+    docs = docs.drop(*STATE.names)
     small_batches(spark)
     schema = T.StructType([*docs.schema.fields, *STATE.fields])
     out = docs
@@ -227,7 +227,7 @@ def _pass(columns: list[str], text: str, block, window: int, shard_bytes: int, k
             for part in pieces([raw], "raw", shard_bytes):
                 lo = part.column(1)[0].as_py()
                 rows = batch.slice(lo, part.num_rows)
-                yield _marked(rows, len(columns), bytes_of(part.column(0)), _compiled((id(block), window), block), k)
+                yield _marked(rows, len(columns), bytes_of(part.column(0)), _compiled(block, window), k)
 
     return run
 
@@ -285,5 +285,6 @@ def _bad(percent: int):
 
 
 def decontaminate(docs: DataFrame, bench: DataFrame, text: str = "text", percent: int = 5, **more) -> DataFrame:
-    """``docs`` without its contaminated rows."""
-    return annotate(docs, bench, text, **more).filter(~_bad(percent)).select(*docs.columns)
+    """``docs`` without its contaminated rows; the others keep all their columns whatever their names."""
+    own = numbered(docs)
+    return annotate(own, bench, number_of(docs, text), **more).filter(~_bad(percent)).select(*own.columns).toDF(*docs.columns)

@@ -17,7 +17,6 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,12 +24,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from starloom.llm.common import bytes_of, pieces, small_batches
+from starloom.llm.common import MEMO_BYTES, MEMO_ENTRY, bytes_of, held, number_of, numbered, pieces, small_batches
 
 #: Characters that count as symbols. Fixed by the rule.
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
-MEMO_WORDS = 500_000
 
 
 @dataclass(frozen=True)
@@ -111,6 +109,7 @@ class Words:
         self.ids: list[bytes] = []
         self.facts = np.zeros((4, 1024), np.int64)  # characters, tokens, fallback tokens, byte-level tokens
         self.hashes = np.zeros(1024, np.uint64)
+        self.size = 0
 
     def learn(self, words: list[bytes]) -> None:
         first, n = len(self.ids), len(self.ids) + len(words)
@@ -124,6 +123,7 @@ class Words:
             self.ids.append(own.tobytes())
             self.facts[:, i] = len(t), len(ids), self.fallback[own].sum(), len(self.bytes.encode_ordinary(" " + t))
             self.hashes[i] = xxhash.xxh64_intdigest(w)
+            self.size += len(w) + 2 * len(ids) + MEMO_ENTRY
 
 
 def repeated_words(hashes: np.ndarray, window: int = WINDOW) -> int:
@@ -177,9 +177,8 @@ def script(raw: bytes) -> str:
     return "marked" if not most and marked and marked >= MARKED_SHARE * counts[0] else most
 
 
-@lru_cache(maxsize=2)
 def _words(piece_model, ranks) -> Words:
-    return Words(piece_model.value, ranks.value)
+    return held(("fertility", piece_model, ranks), lambda: Words(piece_model.value, ranks.value))
 
 
 def annotate(docs: DataFrame, piece_model_file: str, ranks_file: str, text: str = "text", lang: str = "lang",
@@ -189,9 +188,11 @@ def annotate(docs: DataFrame, piece_model_file: str, ranks_file: str, text: str
     ``base_failed``: fewer than 20 words, or over 30 in a hundred words
     stand in repeated windows of 8.  ``kept``: not so, and in the
     language's band, or where ``bands`` has none in that of the text's
-    script, or in ``other``.  Null and empty texts have no words and fail.
+    script, or in ``other``.  Null and empty texts have no words and fail.  Repeated
+    rows are judged each; columns of ``docs`` named as those added give way.
     """
     spark = docs.sparkSession
+    docs = docs.drop(*STATE.names)
     small_batches(spark)
     bands = BANDS if bands is None else bands
     scripts = SCRIPT_BANDS if scripts is None else scripts
@@ -206,7 +207,7 @@ def annotate(docs: DataFrame, piece_model_file: str, ranks_file: str, text: str
         for batch in batches:
             for part in pieces([batch], text):
                 raw = bytes_of(part.column(at).cast(pa.binary()))
-                if len(known.number) > MEMO_WORDS:
+                if known.size > MEMO_BYTES:
                     known.clear()
                 new = {w for x in raw for w in x.split() if w not in known.number}
                 known.learn(list(new))
@@ -224,6 +225,8 @@ def annotate(docs: DataFrame, piece_model_file: str, ranks_file: str, text: str
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *STATE.fields]))
 
 
-def keep(docs: DataFrame, piece_model_file: str, ranks_file: str, **more) -> DataFrame:
-    """The rows of ``docs`` that the rules keep."""
-    return annotate(docs, piece_model_file, ranks_file, **more).filter("__q_kept").select(*docs.columns)
+def keep(docs: DataFrame, piece_model_file: str, ranks_file: str, text: str = "text", lang: str = "lang", **more) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, repeated ones each, with all their columns whatever their names."""
+    own = numbered(docs)
+    kept = annotate(own, piece_model_file, ranks_file, number_of(docs, text), number_of(docs, lang), **more).filter("__q_kept")
+    return kept.select(*own.columns).toDF(*docs.columns)

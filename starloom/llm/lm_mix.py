@@ -38,7 +38,6 @@ import math
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator, Sequence
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +46,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from starloom.llm.common import bytes_of, pieces, small_batches, store
+from starloom.llm.common import bytes_of, held, pieces, small_batches, store
 
 #: Ends a text; UTF-8 has no such byte.
 END = 0xFF
@@ -515,9 +514,8 @@ class Model:
         return cost
 
 
-@lru_cache(maxsize=2)
 def _model(shared) -> Model:
-    return Model(*shared.value)
+    return held(("mixing", shared), lambda: Model(*shared.value))
 
 
 def _scored(rows: DataFrame, kind: T.DataType, model, buckets: int, wide: bool) -> DataFrame:

@@ -26,7 +26,6 @@ import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,13 +33,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.common import bytes_of, pieces, small_batches
+from starloom.llm.common import MEMO_BYTES, MEMO_ENTRY, bytes_of, held, pieces, small_batches
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-#: Chunks that a Python worker remembers (beyond, it starts anew), and the longest chunk that is put in the arrays.
-MEMO_CHUNKS = 600_000
 LONGEST = 400
 
 
@@ -168,6 +165,7 @@ class Machine:
         self.weights = np.zeros(self.size) if self.merges else -self.scores
         self.weights[self.unknown] = 0.0 if self.merges else 10.0 - least
         self.memo: dict[bytes, bytes] = {}
+        self.memo_size = 0
 
     def _byte_pair(self) -> set[str]:
         """Merge order, each piece's last merge and the pieces that merges reach."""
@@ -374,13 +372,16 @@ class Machine:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each UTF-8 text, as little-endian 32-bit bytes."""
-        if len(self.memo) > MEMO_CHUNKS:
+        if self.memo_size > MEMO_BYTES:
             self.memo.clear()
+            self.memo_size = 0
         memo = self.memo
         cut = [self._chunks(x) for x in texts]
         new = list({c for x in cut for c in x if c not in memo})
         if new:
-            memo.update(zip(new, self.chunk_ids([self._string(c) for c in new])))
+            found = self.chunk_ids([self._string(c) for c in new])
+            memo.update(zip(new, found))
+            self.memo_size += sum(map(len, new)) + sum(map(len, found)) + MEMO_ENTRY * len(new)
         return [b"".join([memo[c] for c in x]) for x in cut]
 
     def decode(self, ids: list[int]) -> bytes:
@@ -390,9 +391,8 @@ class Machine:
         return out[1:] if self.model.prefix and out[:1] == b" " else out
 
 
-@lru_cache(maxsize=2)
 def _machine(model) -> Machine:
-    return Machine(model.value)
+    return held(("pieces", model), lambda: Machine(model.value))
 
 
 def _shared(docs: DataFrame, model_file: str):

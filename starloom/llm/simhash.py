@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import bytes_of, small_batches, store
+from starloom.llm.common import bytes_of, number_of, numbered, small_batches, store
 from starloom.llm.components import components
 
 BITS = 64
@@ -131,7 +131,7 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle:
 
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, distance: int = 4) -> DataFrame:
-    """``docs`` with one row of each group: that with the smallest doc_id (null last), with all its columns.
+    """``docs`` with one row of each group: that with the smallest doc_id (null last), with all its columns whatever their names.
 
     Of rows with that doc_id, one with the smallest text hash stays.
     """
@@ -142,17 +142,16 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle:
     group = [F.coalesce("component_id", F.col("fp")).alias("g"), F.col("component_id").isNull().alias("g_null")]
     pick = F.struct(F.col("doc_id").isNull().alias("z"), F.coalesce("doc_id", F.lit(0)).alias("d"), F.col("text_hash").alias("t"))
     winners = store(member.groupBy(*group).agg(F.min(pick).alias("w"))
-                    .select(F.col("w.z").alias("__w_z"), F.col("w.d").alias("__w_d"), F.col("w.t").alias("__w_t")).distinct(), "winners")
-    id_ = F.col(doc_id).cast("long")
-    keyed = docs.withColumns({"__z": id_.isNull(), "__d": F.coalesce(id_, F.lit(0)), "__t": F.xxhash64(F.col(text))})
-    kept = keyed.join(winners, (F.col("__z") == F.col("__w_z")) & (F.col("__d") == F.col("__w_d")) & (F.col("__t") == F.col("__w_t")), "left_semi")
+                    .select(F.col("w.z").alias("w_z"), F.col("w.d").alias("w_d"), F.col("w.t").alias("w_t")).distinct(), "winners")
+    own = numbered(docs)
+    id_ = F.col(number_of(docs, doc_id)).cast("long")
+    keyed = own.withColumns({"z": id_.isNull(), "d": F.coalesce(id_, F.lit(0)), "t": F.xxhash64(F.col(number_of(docs, text)))})
+    kept = keyed.join(winners, (F.col("z") == F.col("w_z")) & (F.col("d") == F.col("w_d")) & (F.col("t") == F.col("w_t")), "left_semi")
     # one of repeated rows; only rows that are repeated are grouped
-    repeated = (prints.groupBy(F.col("doc_id").isNull().alias("__r_z"), F.coalesce("doc_id", F.lit(0)).alias("__r_d"),
-                               F.col("text_hash").alias("__r_t")).count().filter("count > 1").drop("count"))
+    repeated = (prints.groupBy(F.col("doc_id").isNull().alias("r_z"), F.coalesce("doc_id", F.lit(0)).alias("r_d"),
+                               F.col("text_hash").alias("r_t")).count().filter("count > 1").drop("count"))
     repeated = store(repeated, "repeated")
-    if not repeated.limit(1).count():
-        return kept.drop("__z", "__d", "__t")
-    again = (F.col("__z") == F.col("__r_z")) & (F.col("__d") == F.col("__r_d")) & (F.col("__t") == F.col("__r_t"))
-    once = kept.join(repeated, again, "left_anti")
-    one_of = kept.join(repeated, again, "left_semi").dropDuplicates(["__z", "__d", "__t"])
-    return once.unionByName(one_of).drop("__z", "__d", "__t")
+    if repeated.limit(1).count():
+        again = (F.col("z") == F.col("r_z")) & (F.col("d") == F.col("r_d")) & (F.col("t") == F.col("r_t"))
+        kept = kept.join(repeated, again, "left_anti").unionByName(kept.join(repeated, again, "left_semi").dropDuplicates(["z", "d", "t"]))
+    return kept.select(*own.columns).toDF(*docs.columns)

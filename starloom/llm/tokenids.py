@@ -16,7 +16,6 @@ import struct
 import unicodedata
 import zlib
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import bytes_of, pieces, small_batches
+from starloom.llm.common import MEMO_BYTES, MEMO_ENTRY, bytes_of, held, pieces, small_batches
 from starloom.session import scratch_path
 
 #: Ids in a word and bits for each, by selector from 1; selector 0 escapes. Fixed by the coding.
@@ -34,8 +33,6 @@ HEAD = struct.Struct("<4sIQII")
 TAG = b"S8B1"
 #: A block is closed when it has so many ids.
 BLOCK_IDS = 1 << 15
-#: Words whose ids a Python worker remembers; beyond, it starts anew.
-MEMO_WORDS = 600_000
 
 
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -136,6 +133,7 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         super().__init__()
+        self.size = 0
         self.tokenizer = Tokenizer.from_str(spec)
         self.model = self.tokenizer.model
         parts = json.loads(spec)
@@ -157,6 +155,7 @@ class WordIds(dict):
         else:
             out = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
         self[word] = out
+        self.size += len(word) + len(out) + MEMO_ENTRY
         return out
 
     def text(self, raw: bytes) -> bytes:
@@ -166,14 +165,14 @@ class WordIds(dict):
         text's ids are its words' ids; lower-casing A-Z first changes none,
         except in its special tokens' names.
         """
-        if len(self) > MEMO_WORDS:
+        if self.size > MEMO_BYTES:
             self.clear()
+            self.size = 0
         return b"".join([self[w] for w in (raw if b"<|" in raw else raw.lower()).split()])
 
 
-@lru_cache(maxsize=2)
 def _words(spec) -> WordIds:
-    return WordIds(spec.value)
+    return held(("token ids", spec), lambda: WordIds(spec.value))
 
 
 def write(docs: DataFrame, tokenizer_file: str, path: str, end_id: int = 2, doc_id: str = "doc_id", text: str = "text",

@@ -19,7 +19,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +27,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.common import bytes_of, pieces, small_batches, store
+from starloom.llm.common import MEMO_BYTES, MEMO_ENTRY, bytes_of, held, number_of, numbered, pieces, small_batches, store
 
 WORD_ROWS, GRAM_ROWS = 1 << 14, 1 << 16
 GRAMS = (3, 4, 5)
-MEMO_WORDS = 300_000
 #: Windows scored at once.
 LANES = 2048
 #: Words whose n-grams are worked on at once.
@@ -356,7 +354,7 @@ class Scorer:
         self.table = self.net.inputs(self.net.vectors([b""]))
 
     def score(self, texts: list[bytes]) -> list[float]:
-        if len(self.number) > MEMO_WORDS:
+        if self.table.nbytes + MEMO_ENTRY * len(self.number) > MEMO_BYTES:
             self.clear()
         s = self.net.s
         cut = [words(x) for x in texts]
@@ -419,9 +417,8 @@ def sample(docs: DataFrame, labels: DataFrame, s: Settings, doc_id: str = "doc_i
     return [(found[i]["label"], [bytes(w).split() for w in found[i]["windows"]]) for i in sorted(found)]
 
 
-@lru_cache(maxsize=2)
 def _scorer(s: Settings, parameters) -> Scorer:
-    return Scorer(s, parameters.value)
+    return held(("toxicity", s, parameters), lambda: Scorer(s, parameters.value))
 
 
 def annotate(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
@@ -431,8 +428,10 @@ def annotate(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), doc_i
     Trains on the labelled texts of ``docs`` that aren't held out.  Only the
     text is an input.  Null and empty texts get the score of an empty
     window.  Without labels of both classes all scores come from the
-    untrained network.
+    untrained network.  Repeated rows are scored each; a column of ``docs``
+    named like the score gives way.
     """
+    docs = docs.drop(score)
     net = train(sample(docs, labels, s, doc_id, text, label), s)
     parameters = docs.sparkSession.sparkContext.broadcast(net.p)
     at = docs.columns.index(text)
@@ -446,6 +445,9 @@ def annotate(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), doc_i
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(score, T.DoubleType())]))
 
 
-def keep(docs: DataFrame, labels: DataFrame, most: float = 0.5, **more) -> DataFrame:
-    """The rows of ``docs`` that score below ``most``."""
-    return annotate(docs, labels, **more).filter(F.col("__toxic_score") < most).select(*docs.columns)
+def keep(docs: DataFrame, labels: DataFrame, most: float = 0.5, s: Settings = Settings(), doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
+    """The rows of ``docs`` that score below ``most``, repeated ones each, with all their columns whatever their names."""
+    own = numbered(docs)
+    known = labels.select(F.col(doc_id).alias(number_of(docs, doc_id)), F.col(label).alias("toxic"))
+    kept = annotate(own, known, s, number_of(docs, doc_id), number_of(docs, text), "toxic").filter(F.col("__toxic_score") < most)
+    return kept.select(*own.columns).toDF(*docs.columns)
