@@ -165,6 +165,7 @@ class Machine:
         self.weights = np.zeros(self.size) if self.merges else -self.scores
         self.weights[self.unknown] = 0.0 if self.merges else 10.0 - least
         self.memo: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.memo_size = 0
 
     def _byte_pair(self) -> set[str]:
@@ -372,12 +373,17 @@ class Machine:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each UTF-8 text, as little-endian 32-bit bytes."""
-        if self.memo_size > MEMO_BYTES:
-            self.memo.clear()
-            self.memo_size = 0
-        memo = self.memo
+        if 2 * self.memo_size > MEMO_BYTES:
+            # chunks of the last half that turn up again are kept, the others go
+            self.older, self.memo, self.memo_size = self.memo, {}, 0
+        memo, older = self.memo, self.older
         cut = [self._chunks(x) for x in texts]
         new = list({c for x in cut for c in x if c not in memo})
+        if older:
+            again = {c: older[c] for c in new if c in older}
+            memo.update(again)
+            self.memo_size += sum(len(c) + len(x) + MEMO_ENTRY for c, x in again.items())
+            new = [c for c in new if c not in again]
         if new:
             found = self.chunk_ids([self._string(c) for c in new])
             memo.update(zip(new, found))

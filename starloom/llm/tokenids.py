@@ -29,6 +29,8 @@ from starloom.session import scratch_path
 #: Ids in a word and bits for each, by selector from 1; selector 0 escapes. Fixed by the coding.
 COUNTS = np.array([1, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1], np.int64)
 WIDTHS = np.array([64, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60], np.uint64)
+#: The largest id of each selector from 1.
+LARGEST = (np.uint64(1) << WIDTHS[1:]) - np.uint64(1)
 HEAD = struct.Struct("<4sIQII")
 TAG = b"S8B1"
 #: A block is closed when it has so many ids.
@@ -39,10 +41,22 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ids (unsigned 64-bit) as words, and the places of escaped words."""
     ids = np.asarray(ids, np.uint64)
     n = len(ids)
-    choice = np.zeros(n, np.int64)  # an id that no width holds escapes
+    # the first selector whose width holds each id; an id that none holds escapes
+    need = np.searchsorted(LARGEST, ids).astype(np.uint8) + 1
+    choice = np.zeros(n, np.int64)
     for s in range(len(COUNTS) - 1, 0, -1):
-        wide = np.concatenate(([0], np.cumsum(ids >> WIDTHS[s] != 0)))
-        choice[wide[np.minimum(np.arange(n) + COUNTS[s], n)] == wide[:-1]] = s
+        # runs between ids that are too wide; short of a whole word, only the last one counts, as it is filled up with zeros
+        wide = np.concatenate(([-1], np.flatnonzero(need > s), [n]))
+        runs = np.diff(wide) - 1
+        runs[-1] += COUNTS[s] - 1 if runs[-1] else 0
+        long = np.flatnonzero(runs >= COUNTS[s])
+        if len(long) == 1 and len(runs) == 1:
+            choice[:] = s
+        elif len(long):
+            edge = np.zeros(n + 1, np.int8)
+            edge[wide[long] + 1] += 1
+            edge[np.minimum(wide[long] + 1 + runs[long] - COUNTS[s] + 1, n)] -= 1
+            choice[np.cumsum(edge[:n], dtype=np.int8) > 0] = s
     steps, at, starts = COUNTS[choice].tolist(), 0, []
     while at < n:
         starts.append(at)
@@ -134,6 +148,7 @@ class WordIds(dict):
 
         super().__init__()
         self.size = 0
+        self.older: dict[bytes, bytes] = {}
         self.tokenizer = Tokenizer.from_str(spec)
         self.model = self.tokenizer.model
         parts = json.loads(spec)
@@ -144,19 +159,22 @@ class WordIds(dict):
         self.letters = [_byte_letters()[b] for b in range(256)]
 
     def __missing__(self, word: bytes) -> bytes:
+        out = self.older.pop(word, None)
+        if out is None:
+            out = self._ids(word)
+        self[word] = out
+        self.size += len(word) + len(out) + MEMO_ENTRY
+        return out
+
+    def _ids(self, word: bytes) -> bytes:
         body = word.rstrip(TAIL)
         text = body.decode()
         if self.plain and text.isalpha() and (text.isascii() and text.islower() or text == text.lower() and unicodedata.is_normalized("NFC", text)):
             if len(body) < len(word):
-                out = self[body] + self[word[len(body):]]
-            else:
-                units = text if text.isascii() else "".join([self.letters[b] for b in body])
-                out = np.array([t.id for t in self.model.tokenize(units)], "<u4").tobytes()
-        else:
-            out = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
-        self[word] = out
-        self.size += len(word) + len(out) + MEMO_ENTRY
-        return out
+                return self[body] + self[word[len(body):]]
+            units = text if text.isascii() else "".join([self.letters[b] for b in body])
+            return np.array([t.id for t in self.model.tokenize(units)], "<u4").tobytes()
+        return np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
 
     def text(self, raw: bytes) -> bytes:
         """Ids of a whole text.
@@ -165,10 +183,12 @@ class WordIds(dict):
         text's ids are its words' ids; lower-casing A-Z first changes none,
         except in its special tokens' names.
         """
-        if self.size > MEMO_BYTES:
+        if 2 * self.size > MEMO_BYTES:
+            # words of the last half that turn up again are kept, the others go
+            self.older = dict(self)
             self.clear()
             self.size = 0
-        return b"".join([self[w] for w in (raw if b"<|" in raw else raw.lower()).split()])
+        return b"".join(map(self.__getitem__, (raw if b"<|" in raw else raw.lower()).split()))
 
 
 def _words(spec) -> WordIds:
@@ -181,6 +201,9 @@ def write(docs: DataFrame, tokenizer_file: str, path: str, end_id: int = 2, doc_
 
     The tokenizer must drop white space between words, as
     ``word_bpe_49k.json`` does.  Null and empty texts have only the end id.
+    Repeated rows are written each; other columns are ignored.  Ranges are
+    cut by id and hash, so an id that a third of the rows share is several
+    tasks' work.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -188,7 +211,8 @@ def write(docs: DataFrame, tokenizer_file: str, path: str, end_id: int = 2, doc_
         spec = spark.sparkContext.broadcast(f.read())
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("raw"), F.xxhash64(F.col(text)).alias("h"))
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "h").select("doc_id", "raw")
+    # rows of one id, or of none, may be many: the hash parts them
+    ordered = rows.repartitionByRange(n, "doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "raw")
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -5,6 +5,7 @@ import numpy as np
 import public_tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from starloom.llm import tokenids
@@ -60,3 +61,15 @@ def test_nulls_and_repeated_rows_and_empty(spark):
     spans = sorted((r.start, r.n_tokens) for r in got)
     assert all(a + n == b for (a, n), (b, _) in zip(spans, spans[1:]))
     assert tokenids.round_trip(documents(spark, []), FILE).count() == 0
+
+
+def test_a_third_of_the_rows_without_id_are_several_tasks(spark, tmp_path):
+    rows = [(None if i % 3 == 0 else i, f"text number {i} of many") for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    path = f"{tmp_path}/ids"
+    tokenids.write(df, public_tokenizers.path("word_bpe_49k.json"), path, partitions=9)
+    parts = spark.read.parquet(path).groupBy("part").agg(F.sum("n_ids").alias("n")).collect()
+    assert len(parts) == 9 and max(r["n"] for r in parts) < 2.5 * min(r["n"] for r in parts)
+    got = tokenids.digests(spark, path).orderBy("start").collect()
+    assert [r["doc_id"] for r in got if r["doc_id"] is not None] == sorted(i for i, _ in rows if i is not None)
+    assert all(r["doc_id"] is None for r in got[:200]) and len(got) == 600
