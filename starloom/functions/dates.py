@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,9 +24,24 @@ def date_from_digits(x: str | Column) -> Column:
     return F.try_to_date(padded, "MMddyyyy")
 
 
-def to_nullable_date(x: str | Column) -> Column:
-    """Lenient ISO-ish parse: bad text -> NULL."""
-    return F.try_to_date(_c(x).cast("string"))
+# ---------------------------------------------------------------------------
+# Spellings of dates, tried in this order after ISO text.
+# ---------------------------------------------------------------------------
+DATE_SPELLINGS = ["yyyyMMdd", "yyyy/M/d", "M/d/yyyy", "M-d-yyyy", "d-MMM-yyyy", "d MMM yyyy", "MMM d, yyyy", "MMMM d, yyyy", "d MMMM yyyy"]
+# ---------------------------------------------------------------------------
+
+
+def to_nullable_date(x: str | Column, spellings: Sequence[str] = DATE_SPELLINGS) -> Column:
+    """Lenient parse of date text: ISO (a time behind it is cut off), then each spelling in order, else NULL.
+
+    Blanks around the text don't count; digits separated by slashes or
+    dashes begin with the month; a date that doesn't exist (February 30th)
+    is NULL.  Only ``x`` of the text type is parsed; dates and timestamps
+    are cast.
+    """
+    text = F.trim(_c(x).cast("string"))
+    iso = F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}([ T].*)?$"), F.substring_index(F.substring_index(text, " ", 1), "T", 1).try_cast("date"))
+    return F.coalesce(iso, *[F.try_to_date(text, s) for s in spellings])
 
 
 def date_from_parts(year: str | Column, month: str | Column,

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -67,3 +67,28 @@ def hierarchy_orphans(rows: DataFrame, child_col: str, parent_col: str,
     m = masters.select(normalize(F.col(master_child)).alias("__c"),
                        normalize(F.col(master_parent)).alias("__p")).distinct()
     return keyed.join(m, ["__c", "__p"], "left_anti").drop("__c", "__p")
+
+
+def write_observed(df: DataFrame, path: str, mode: str = "errorifexists") -> dict[str, tuple[int, int, str | None, str | None]]:
+    """Write a table and profile it in the same pass: rows, NULLs, least and greatest value (as text) of each column.
+
+    The figures are gathered by the tasks that write, so the table is read
+    once however many columns are profiled.  Columns that can't be ordered
+    (maps) have no least and greatest value.
+    """
+    seen = Observation("profile")
+    ordered = [f.name for f in df.schema if not f.dataType.typeName() == "map"]
+    figures = [F.count(F.lit(1)).alias("n")]
+    for i, c in enumerate(df.columns):
+        figures.append(F.count_if(F.col(f"`{c}`").isNull()).alias(f"null{i}"))
+        if c in ordered:
+            figures += [F.min(F.col(f"`{c}`")).cast("string").alias(f"min{i}"), F.max(F.col(f"`{c}`")).cast("string").alias(f"max{i}")]
+    df.observe(seen, *figures).write.mode(mode).parquet(path)
+    got = seen.get
+    return {c: (got["n"], got[f"null{i}"], got.get(f"min{i}"), got.get(f"max{i}")) for i, c in enumerate(df.columns)}
+
+
+def observed_profile(df: DataFrame, path: str) -> DataFrame:
+    """``write_observed`` as a relation: ``column_name, row_count, null_count, min_value, max_value``, a row for each column."""
+    rows = [(c, *figures) for c, figures in write_observed(df, path).items()]
+    return df.sparkSession.createDataFrame(rows, "column_name string, row_count long, null_count long, min_value string, max_value string")

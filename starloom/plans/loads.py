@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from starloom.functions.dates import to_nullable_date
 from starloom.operators import quality
 from starloom.operators.dims import dim_date
 from starloom.operators.joins import nullsafe_join, period_start_join, validity_join
@@ -13,7 +16,7 @@ from starloom.operators.upsert import combo_upsert
 from starloom.plans.dimensional import DATE_ATTRS_SQL, SCD2_SQL
 from starloom.plans.registry import register
 from starloom.session import scratch_path
-from starloom.sources.files import overwrite_table
+from starloom.sources.files import overwrite_table, write_bucketed
 from starloom.sources.tables import read_table
 
 
@@ -153,3 +156,47 @@ def combo_null_empty(spark, sf_dir):
     attrs = ["event_type", "kind", "band"]
     combos = dense_ids(first_seen_combinations(ev, attrs, "ts"), attrs, "combo_id").select("combo_id", "first_seen", *[F.col(a).alias(f"c_{a}") for a in attrs])
     return nullsafe_join(ev, combos, [(a, f"c_{a}") for a in attrs]).select("event_id", "combo_id", "first_seen")
+
+
+# dates as files spell them, and text that is none.
+RAW_DATE = """CASE o_orderkey % 12
+  WHEN 0 THEN date_format(o_orderdate, 'yyyy-MM-dd') WHEN 1 THEN date_format(o_orderdate, 'yyyy-M-d HH:mm:ss') WHEN 2 THEN date_format(o_orderdate, 'MM/dd/yyyy')
+  WHEN 3 THEN date_format(o_orderdate, 'yyyyMMdd') WHEN 4 THEN date_format(o_orderdate, ' d-MMM-yyyy ') WHEN 5 THEN date_format(o_orderdate, 'MMM d, yyyy')
+  WHEN 6 THEN date_format(o_orderdate, 'yyyy/MM/dd') WHEN 7 THEN date_format(o_orderdate, 'MMMM d, yyyy') WHEN 8 THEN date_format(o_orderdate, 'd MMMM yyyy')
+  WHEN 9 THEN '2001-02-30' WHEN 10 THEN 'n/a' END"""
+
+
+@register("date_lenient", oracle="""
+SELECT o_orderkey, CASE WHEN o_orderkey % 12 < 9 THEN CAST(o_orderdate AS DATE) END AS order_date FROM orders
+""")
+def date_lenient(spark, sf_dir):
+    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_orderdate")
+    return o.select("o_orderkey", F.expr(RAW_DATE).alias("raw")).select("o_orderkey", to_nullable_date("raw").alias("order_date"))
+
+
+# A table's profile gathered by the tasks that write it.
+@register("observed_profile", oracle="""
+WITH t AS (SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 THEN o_custkey END AS o_custkey, NULLIF(o_orderstatus, 'P') AS o_orderstatus, CAST(o_orderdate AS DATE) AS order_date FROM orders)
+SELECT 'o_orderkey' AS column_name, count(*) AS row_count, count(*) - count(o_orderkey) AS null_count, CAST(min(o_orderkey) AS VARCHAR) AS min_value, CAST(max(o_orderkey) AS VARCHAR) AS max_value FROM t
+UNION ALL SELECT 'o_custkey', count(*), count(*) - count(o_custkey), CAST(min(o_custkey) AS VARCHAR), CAST(max(o_custkey) AS VARCHAR) FROM t
+UNION ALL SELECT 'o_orderstatus', count(*), count(*) - count(o_orderstatus), min(o_orderstatus), max(o_orderstatus) FROM t
+UNION ALL SELECT 'order_date', count(*), count(*) - count(order_date), CAST(min(order_date) AS VARCHAR), CAST(max(order_date) AS VARCHAR) FROM t
+""")
+def observed_profile(spark, sf_dir):
+    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    t = o.select("o_orderkey", F.when(F.col("o_orderkey") % 5 != 0, F.col("o_custkey")).alias("o_custkey"),
+                 F.nullif("o_orderstatus", F.lit("P")).alias("o_orderstatus"), F.col("o_orderdate").cast("date").alias("order_date"))
+    return quality.observed_profile(t, scratch_path(spark, "observed"))
+
+
+# Two facts in buckets of one key, joined and summed where they lie.
+@register("bucketed_star_join", oracle="""
+SELECT o.o_orderkey, o.o_orderpriority, count(*) AS n_lines, CAST(SUM(CAST(l.l_quantity AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS quantity
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1, 2
+""")
+def bucketed_star_join(spark, sf_dir, buckets=8):
+    tag = uuid.uuid4().hex[:12]
+    li = write_bucketed(read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_quantity"), f"lineitem_{tag}", scratch_path(spark, "lineitem"), "l_orderkey", buckets)
+    o = write_bucketed(read_table(spark, sf_dir, "orders", "o_orderkey", "o_orderpriority"), f"orders_{tag}", scratch_path(spark, "orders"), "o_orderkey", buckets)
+    return (li.join(o.hint("merge"), li["l_orderkey"] == o["o_orderkey"]).groupBy("o_orderkey", "o_orderpriority")
+            .agg(F.count(F.lit(1)).alias("n_lines"), F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("quantity")))

@@ -77,6 +77,19 @@ def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = ())
     w.parquet(path)
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int) -> DataFrame:
+    """Write a table in ``buckets`` files groups by the hash of ``key``, sorted by it, and read it from the catalogue.
+
+    Tables of one key type and number of buckets join and group by the key
+    where they lie.  Rows are dealt to the buckets before they are written,
+    so a bucket is one file.  The layout is known by the table's name in the
+    session's catalogue; the files are below ``path``.
+    """
+    dealt = df.repartition(buckets, key)
+    dealt.write.format("parquet").mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Append rows to a Parquet table (``INSERT ... SELECT``)."""
     w = df.write.mode("append")
