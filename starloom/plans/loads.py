@@ -6,17 +6,19 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from starloom.functions import row_hash
 from starloom.functions.dates import to_nullable_date
 from starloom.operators import quality
 from starloom.operators.dims import dim_date
 from starloom.operators.joins import nullsafe_join, period_start_join, validity_join
 from starloom.operators.keys import dense_ids
 from starloom.operators.scd import first_seen_combinations, lag_within_key, last_state_per_day, scd2_merge, scd2_versions
+from starloom.operators.stores import HashIndex, Scd2Store
 from starloom.operators.upsert import combo_upsert
 from starloom.plans.dimensional import DATE_ATTRS_SQL, SCD2_SQL
 from starloom.plans.registry import register
 from starloom.session import scratch_path
-from starloom.sources.files import overwrite_table, write_bucketed
+from starloom.sources.files import append_table, overwrite_table, write_bucketed
 from starloom.sources.tables import read_table
 
 
@@ -200,3 +202,35 @@ def bucketed_star_join(spark, sf_dir, buckets=8):
     o = write_bucketed(read_table(spark, sf_dir, "orders", "o_orderkey", "o_orderpriority"), f"orders_{tag}", scratch_path(spark, "orders"), "o_orderkey", buckets)
     return (li.join(o.hint("merge"), li["l_orderkey"] == o["o_orderkey"]).groupBy("o_orderkey", "o_orderpriority")
             .agg(F.count(F.lit(1)).alias("n_lines"), F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("quantity")))
+
+
+# A type-2 dimension of which a batch rewrites only the buckets of its keys.
+@register("scd2_bucket_update", oracle=SCD2_SQL.replace("FROM events WHERE", "FROM events WHERE (CAST(ts AS DATE) < DATE '2024-01-16' OR user_id % 20 = 3) AND") + "SELECT * FROM versions")
+def scd2_bucket_update(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events", "user_id", "ts", "event_id", "event_type")
+    daily = last_state_per_day(ev, "user_id", "ts", "event_id", ["event_type"])
+    half = F.lit("2024-01-16").cast("date")
+    store = Scd2Store(spark, scratch_path(spark, "person_buckets"), "user_id", "state_date", ["event_type"], buckets=16)
+    store.build(daily.filter(F.col("state_date") < half))
+    batch = daily.filter((F.col("state_date") >= half) & (F.col("user_id") % 20 == 3))
+    store.apply(batch)
+    store.apply(batch)  # changes nothing
+    return store.read()
+
+
+# Hash deltas against an index of which a batch reads its own prefixes.
+@register("delta_indexed", oracle="""
+WITH h AS (SELECT user_id, event_type, CAST(ts AS DATE) AS d, sha256(COALESCE(CAST(user_id AS VARCHAR), '') || '|' || event_type || '|' || strftime(ts, '%Y-%m-%d')) AS row_hash,
+                  CASE WHEN event_id % 10 < 7 THEN 1 WHEN event_id % 10 < 9 THEN 2 ELSE 3 END AS load_no FROM events)
+SELECT user_id, event_type, d AS event_day, row_hash, CAST(min(load_no) AS INTEGER) AS load_no FROM h GROUP BY 1, 2, 3, 4
+""")
+def delta_indexed(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events", "event_id", "user_id", "event_type", "ts").withColumn("event_day", F.col("ts").cast("date"))
+    hashed = ev.select("event_id", "user_id", "event_type", "event_day", row_hash(["user_id", "event_type", F.col("event_day").cast("string")]).alias("row_hash"))
+    target, index = scratch_path(spark, "indexed_target"), HashIndex(spark, scratch_path(spark, "hash_index"))
+    for no, some in enumerate(["event_id % 10 < 7", "event_id % 10 between 7 and 8", "true", "true"], start=1):
+        batch = hashed.filter(some).drop("event_id").dropDuplicates(["row_hash"])
+        new = _stored(index.new_rows(batch).withColumn("load_no", F.lit(no)), "delta_new")
+        append_table(new, target)
+        index.add(new)
+    return spark.read.schema(new.schema).parquet(target)
