@@ -5,39 +5,31 @@ space character or the end behind it.  Units are spelled in bits by a prefix
 code built from the corpus' byte counts.  Four predictors give log odds for
 the next bit, from what the training texts held at the same place in the
 code after, hashed, the last byte, the last two, the last three, and the
-whole unit so far; contexts begin with the unit.  The log odds are added up
-with weights; which set of weights is used depends on how often the unit so
-far was seen (the gate).  After each bit the chosen weights move along the
-gradient of the coding cost, so they adapt to the text.  The sum of costs is
-the text's total bits.
+whole unit so far; contexts begin with the unit.  The log odds, in steps of
+``STEP``, are added up with weights; which set of weights is used depends on
+how often the unit so far was seen (the gate).  The sum is refined by a map
+from its size to a correction.  Weights and map belong to the text: they
+begin as constants, and after every ``BEAT`` units move along the gradient
+of these units' coding cost.  The sum of costs is the text's total bits.
 
 Since contexts begin with the unit, a unit's log odds are the same wherever
-it stands: the corpus is counted by its distinct units, and a text's odds
-are looked up once for each distinct unit.  Only the mixing runs bit by bit.
-Weights are carried through the whole text: many texts are mixed side by side
-as arrays, and what is left of the longest ones bit by bit.  The score is the
-logarithm of a probability.
-
-The corpus' counts come from all training texts.  Texts are scored where
-they are read, in chunks of a few megabytes, and never shuffled.  A chunk's
-distinct words, in one row for each bucket of words, are what meets the
-word counts; counts go back to the chunk as arrays.
-
-What is learned grows with the corpus.  The first three predictors' tables
-are counted again with more slots until at most one in ``ROOM`` is used.
-The last predictor's contexts, the units so far, are as many as the corpus
-has words; beyond ``NARROW`` bytes of distinct units they are a table of
-each context's following bytes and their counts, without hashed slots, and a
-chunk asks for its contexts by bucket as it does for words.
+it stands, and a text's odds are looked up once for each distinct unit.
+
+Texts are cut once, in chunks of some megabytes, into their distinct units
+and a row of their numbers; all else works on these.  The tables of the
+first three predictors have a fixed number of slots.  The last predictor and
+the word counts grow with the corpus: its units are held in ranges, a chunk
+asks each range for its units, and gets back a byte for each bit.  What
+follows a beginning that two ranges share is counted over all.
 """
 
 from __future__ import annotations
 
 import heapq
-import math
 import uuid
 import zlib
-from collections.abc import Iterable, Iterator, Sequence
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -52,41 +44,37 @@ from starloom.llm.common import bytes_of, held, pieces, small_batches, store
 END = 0xFF
 BLANK = np.zeros(256, bool)
 BLANK[[9, 10, 11, 12, 13, 32, END]] = True
-#: Slots of each predictor's table at least, as powers of two.
-SLOT_BITS = (16, 18, 18, 21)
-
-
-def _tables(slot_bits: Sequence[int]) -> np.ndarray:
-    return np.cumsum([0, *(1 << b for b in slot_bits)])
-
-
-TABLES = _tables(SLOT_BITS)
-#: Bytes of distinct units up to which the last predictor has a table of slots, and slots for each used one otherwise.
-NARROW = 1 << 15
-ROOM = 8
-ORDERS = len(SLOT_BITS)
-#: Bits after which a text's weights begin anew: more than any text has.
-SEGMENT = 1 << 40
-#: Segments mixed side by side, and fewest for which arrays pay; bits of each fetched together, bits
-#: hashed together, bytes of text worked on at once, and slots in one row of counts.
-LANES = 2560
-FEW = 8
-STEPS = 64
+#: Slots of the first three predictors' tables, as powers of two, and where each table begins.
+SLOT_BITS = (16, 18, 20)
+TABLES = np.cumsum([0, *(1 << b for b in SLOT_BITS)])
+ORDERS = len(SLOT_BITS) + 1
+#: Log odds are whole multiples of STEP, MOST at the most; this code means that nothing was seen.
+STEP, MOST, UNSEEN = 0.2, 63, 255
+#: Counts of the unit so far that part the gates.
+SEEN = (1, 30)
+GATES = len(SEEN) + 1
+#: First weights by gate, learning rate of the weights; cells of the map and its rate; units after which both move.
+WEIGHTS = ((0.0, 0.1, 0.8, 0.0), (0.0, 0.1, 0.3, 0.6), (0.0, 0.0, 0.1, 0.9))
+RATE = 0.006
+CELLS, MAP_RATE = 12, 0.006
+BEAT = 4
+#: Sums beyond this are taken for it.
+FAR = 16.0
+#: Texts mixed side by side, bits hashed together, symbols worked on at once, and slots in one row of counts.
+LANES = 256
 NEAR = 1 << 14
 PIECE = 2 << 20
 BLOCK = 1 << 14
-#: Bytes of text in a chunk, buckets of words at least, distinct words in a bucket, and words asked of one group of a bucket.
-CHUNK = 8 << 20
-BUCKETS = 16
-BUCKET_WORDS = 200_000
-ASKED_WORDS = 1_000_000
-#: Bits of a context's hash, bytes of distinct units for each bucket of contexts, and contexts asked of one group of a bucket.
+#: Bytes of text in a chunk, ranges of units at least, distinct units in a range, units drawn for each range to find
+#: its ends (they only balance), units asked of one group of a range, and units looked up together.
+CHUNK = 16 << 20
+RANGES = 16
+RANGE_UNITS = 50_000
+DRAWN = 40
+ASKED_UNITS = 300_000
+TOGETHER = 20_000
+#: Bits of a context's hash.
 HASHED = 48
-BUCKET_BYTES = 2_000_000
-ASKED_CONTEXTS = 2_000_000
-#: First weight of each predictor, learning rate, and the counts that part the gates.
-WEIGHTS, RATE, SEEN = (0.0, 0.1, 0.3, 0.7), 0.02, (1, 30)
-ROOT, SUM = float(np.sqrt(RATE)), np.ones(ORDERS, np.float32)
 
 
 def held_out(doc_id: Column, parts: int = 7, part: int = 2) -> Column:
@@ -149,23 +137,6 @@ def _prefixes(symbols: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tup
     return before, (summed[ends] - summed[starts]) * up[ends]
 
 
-def units(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Symbols of the lower-cased texts, starts and sizes of their units, and the units before each text's end."""
-    symbols = np.frombuffer(b"".join([x.lower() + b"\xff" for x in texts]), np.uint8)
-    ends = np.flatnonzero(BLANK[symbols]) + 1
-    starts = np.concatenate(([0], ends[:-1]))
-    return symbols, starts, ends - starts, np.flatnonzero(symbols[ends - 1] == END) + 1
-
-
-def distinct(symbols: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct units' symbols, their sizes, which of them each unit is, and how often each stands."""
-    _, whole = _prefixes(symbols, starts, sizes)
-    _, first, which, counts = np.unique(whole, return_index=True, return_inverse=True, return_counts=True)
-    own = sizes[first]
-    at = np.arange(int(own.sum())) + np.repeat(starts[first] - np.cumsum(own) + own, own)
-    return symbols[at], own, which, counts
-
-
 def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """``sizes`` numbers from each of ``starts`` on."""
     return np.arange(int(sizes.sum())) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
@@ -179,19 +150,89 @@ def _contexts(symbols: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return found >> np.uint64(64 - HASHED)
 
 
-def _packed(numbers: np.ndarray) -> bytes:
-    """Ascending numbers by their steps, byte by byte, so that what they have in common shrinks when written."""
-    return np.diff(numbers, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+def _together(batches: Iterable[pa.RecordBatch], least: int) -> Iterator[pa.Table]:
+    """Rows of at least ``least`` bytes together; the last may be fewer."""
+    parts, size = [], 0
+    for part in pieces(batches, "raw"):
+        parts.append(part)
+        size += part.nbytes
+        if size >= least:
+            yield pa.Table.from_batches(parts)
+            parts, size = [], 0
+    if parts:
+        yield pa.Table.from_batches(parts)
+
+
+def _added_up(context: np.ndarray, symbol: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Counts of equal (context, symbol), ordered by both."""
+    order = np.lexsort((symbol, context))
+    context, symbol, n = context[order], symbol[order], n[order]
+    first = np.flatnonzero(np.concatenate((np.ones(min(len(n), 1), bool), (context[1:] != context[:-1]) | (symbol[1:] != symbol[:-1]))))
+    return context[first], symbol[first], np.add.reduceat(n, first) if len(n) else n
+
+
+def _squeezed(numbers: np.ndarray) -> bytes:
+    """Numbers byte by byte, compressed."""
+    return zlib.compress(np.ascontiguousarray(numbers.view(np.uint8).reshape(len(numbers), -1).T).tobytes(), 1)
+
 
+def _numbers(squeezed: bytes, kind: type) -> np.ndarray:
+    wide = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(squeezed), np.uint8).reshape(wide, -1).T).view(kind).ravel()
 
-def _unpacked(packed: bytes) -> np.ndarray:
-    steps = np.ascontiguousarray(np.frombuffer(packed, np.uint8).reshape(8, -1).T)
-    return np.cumsum(steps.view(np.uint64).ravel(), dtype=np.uint64)
 
+def _flat(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """All symbols of a binary column without nulls, and each value's size."""
+    raw = column.to_pylist()
+    return np.frombuffer(b"".join(raw), np.uint8), np.array([len(x) for x in raw], np.int64)
 
-def slots(symbols: np.ndarray, sizes: np.ndarray, place: np.ndarray, node: np.ndarray, slot_bits: Sequence[int] = SLOT_BITS) -> np.ndarray:
-    """The slot of each bit in each predictor's table (bits, predictors)."""
-    tables = _tables(slot_bits)
+
+def _binary(raw: bytes, sizes: np.ndarray) -> pa.Array:
+    """The values that lie behind one another in ``raw`` as an Arrow column."""
+    offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(raw)])
+
+
+def _parts(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of neighbours whose sizes add up to about ``most``, one at least."""
+    ends = np.cumsum(sizes)
+    lo = 0
+    while lo < len(sizes):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + most, side="right")))
+        yield lo, hi
+        lo = hi
+
+
+def units(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The distinct units of the lower-cased texts in order, which of them each unit is, and each text's number of units."""
+    joined = b"".join([x.lower() + b"\xff" for x in texts])
+    symbols = np.frombuffer(joined, np.uint8)
+    ends = np.flatnonzero(BLANK[symbols]) + 1
+    starts = np.concatenate(([0], ends[:-1])).astype(np.int64)
+    sizes = ends - starts
+    hashes, firsts, whiches = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], []
+    total = 0
+    for lo, hi in _parts(sizes, PIECE):
+        own = symbols[starts[lo]:ends[hi - 1]]
+        _, whole = _prefixes(own, starts[lo:hi] - starts[lo], sizes[lo:hi])
+        found, first, which = np.unique(whole, return_index=True, return_inverse=True)
+        hashes.append(found)
+        firsts.append(first + lo)
+        whiches.append(which + total)
+        total += len(found)
+    _, first, which = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+    unit = np.concatenate(firsts)[first]
+    found = [joined[a:b] for a, b in zip(starts[unit].tolist(), ends[unit].tolist())]
+    order = sorted(range(len(found)), key=found.__getitem__)
+    rank = np.empty(len(found), np.int32)
+    rank[order] = np.arange(len(found), dtype=np.int32)
+    every = rank[which][np.concatenate(whiches)] if whiches else np.zeros(0, np.int32)
+    last = np.flatnonzero(symbols[ends - 1] == END) + 1
+    return [found[i] for i in order], every, np.diff(last, prepend=0)
+
+
+def slots(symbols: np.ndarray, sizes: np.ndarray, place: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """The slot of each bit in each of the first three predictors' tables (bits, predictors)."""
     starts = np.cumsum(sizes) - sizes
     depth = np.arange(len(symbols)) - np.repeat(starts, sizes)
     known = symbols.astype(np.uint64) + np.uint64(1)
@@ -201,72 +242,92 @@ def slots(symbols: np.ndarray, sizes: np.ndarray, place: np.ndarray, node: np.nd
         shifted[k:] = known[:-k or None][:max(len(known) - k, 0)]
         last.append(np.where(depth >= k, shifted, np.uint64(0)))
     two = last[0] * np.uint64(300) + last[1]
-    contexts = (last[0], two * _ODD, (two * np.uint64(300) + last[2] + np.uint64(7)) * _ODD, (_prefixes(symbols, starts, sizes)[0] + np.uint64(77)) * _ODD)
+    contexts = (last[0], two * _ODD, (two * np.uint64(300) + last[2] + np.uint64(7)) * _ODD)
     step = (np.arange(256, dtype=np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
-    out = np.empty((len(place), ORDERS), np.int32)
+    out = np.empty((len(place), len(SLOT_BITS)), np.int32)
     for lo in range(0, len(place), NEAR):  # few enough at once to stay near the processor
         these, steps = place[lo:lo + NEAR], step[node[lo:lo + NEAR]]
-        for i, (context, bits) in enumerate(zip(contexts, slot_bits)):
+        for i, (context, bits) in enumerate(zip(contexts, SLOT_BITS)):
             mixed = context.take(these)
             mixed += steps
             mixed ^= mixed >> np.uint64(29)
             mixed *= _ODD
             mixed >>= np.uint64(64 - bits)
-            mixed += np.uint64(tables[i])
+            mixed += np.uint64(TABLES[i])
             out[lo:lo + NEAR, i] = mixed
     return out
 
 
-def _small(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
-    """Texts of about ``PIECE`` bytes together, and the number of the first."""
-    first, size = 0, 0
-    for i, x in enumerate(texts):
-        if size and size + len(x) > PIECE:
-            yield first, texts[first:i]
-            first, size = i, 0
-        size += len(x)
-    if first < len(texts):
-        yield first, texts[first:]
+def steps_of(counts: np.ndarray) -> np.ndarray:
+    """The log odds of (zeros, ones), in steps."""
+    odds = np.log((counts[..., 1] + 0.4) / (counts[..., 0] + 0.4))
+    return np.clip(np.rint(odds / STEP), -MOST, MOST).astype(np.int8)
 
 
-def _together(batches: Iterable[pa.RecordBatch], least: int) -> Iterator[pa.Table]:
-    """Rows of at least ``least`` bytes together; the last may be fewer."""
-    parts, size = [], 0
-    for part in pieces(batches, "raw"):
-        parts.append(part)
-        size += part.nbytes
-        if size >= least:
-            yield pa.Table.from_batches(parts)
-            parts, size = [], 0
-    if parts:
-        yield pa.Table.from_batches(parts)
+def coded(steps: np.ndarray, bit: np.ndarray, often: np.ndarray | int = 0) -> np.ndarray:
+    """A byte for each bit: the log odds towards the bit that comes, and whether the context was seen often."""
+    return ((np.where(bit, steps, -steps) + MOST) * 2 + often).astype(np.uint8)
+
+
+def _decoded() -> tuple[np.ndarray, np.ndarray]:
+    """Log odds and gate of each byte that ``coded`` gives."""
+    byte = np.arange(256)
+    odds = ((byte // 2 - MOST) * STEP).astype(np.float32)
+    gate = 1 + byte % 2
+    odds[UNSEEN], gate[UNSEEN] = 0, 0
+    return odds, gate
+
+
+ODDS, GATE = _decoded()
+
+
+def _chunks(rows: DataFrame, kind: T.DataType) -> DataFrame:
+    """A row for each chunk of texts: its documents, distinct units in order, how often each teaches, and the texts as numbers of units.
+
+    The chunk's name is drawn, so the rows must be stored before use.
+    """
+    docs = pa.struct([("doc_id", to_arrow_type(kind)), ("held_out", pa.bool_()), ("size", pa.int64()), ("units", pa.int64())])
+    names = ["chunk", "n", "docs", "units", "sizes", "teach", "which"]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for some in _together(batches, CHUNK):
+            raws = bytes_of(some["raw"])
+            found, which, each = units(raws)
+            out = some["held_out"].to_numpy()
+            teach = np.bincount(which[np.repeat(~out.astype(bool), each)], minlength=len(found))
+            own = pa.StructArray.from_arrays([some["doc_id"].combine_chunks(), some["held_out"].combine_chunks(), pa.array([len(x) for x in raws], pa.int64()), pa.array(each, pa.int64())],
+                                             fields=list(docs))
+            yield pa.RecordBatch.from_arrays([
+                pa.array([uuid.uuid4().hex]), pa.array([len(found)], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(raws)], pa.int32()), own),
+                *(pa.array([x], pa.binary()) for x in (zlib.compress(b"".join(found), 1), _squeezed(np.array([len(x) for x in found], np.int64)), _squeezed(teach), _squeezed(which)))], names)
+
+    return rows.mapInArrow(run, f"chunk string, n long, docs array<struct<doc_id:{kind.simpleString()},held_out:boolean,size:bigint,units:bigint>>, "
+                                "units binary, sizes binary, teach binary, which binary")
 
 
-def _unit_counts(rows: DataFrame) -> DataFrame:
-    """``unit, n`` of the units of all rows."""
+def _unit_counts(chunks: DataFrame) -> DataFrame:
+    """``unit, n`` of the units that teach."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for held in _together(batches, PIECE):
-            symbols, starts, sizes, _ = units(bytes_of(held["raw"]))
-            found, own, _, counts = distinct(symbols, starts, sizes)
-            offsets = np.concatenate(([0], np.cumsum(own))).astype(np.int32)
-            words = pa.Array.from_buffers(pa.binary(), len(own), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(found.tobytes())])
-            yield pa.RecordBatch.from_arrays([words, pa.array(counts, pa.int64())], ["unit", "n"])
+        for batch in batches:
+            for raw, sizes, teach in zip(*(batch[c].to_pylist() for c in ("units", "sizes", "teach"))):
+                n = _numbers(teach, np.int64)
+                found = _binary(zlib.decompress(raw), _numbers(sizes, np.int64))
+                yield pa.RecordBatch.from_arrays([found, pa.array(n)], ["unit", "n"]).filter(pa.array(n > 0))
 
-    return rows.mapInArrow(run, "unit binary, n long").groupBy("unit").agg(F.sum("n").alias("n"))
+    return chunks.select("units", "sizes", "teach").mapInArrow(run, "unit binary, n long").groupBy("unit").agg(F.sum("n").alias("n"))
 
 
-def _column(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Symbols and sizes of a batch's units, and their counts."""
-    raw = batch.column(0).to_pylist()
-    return np.frombuffer(b"".join(raw), np.uint8), np.array([len(x) for x in raw], np.int64), batch.column(1).to_numpy()
+def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Symbols, sizes and counts of some units at a time."""
+    for some in _together(batches, PIECE):
+        yield *_flat(some["raw"]), some["n"].to_numpy()
 
 
 def _byte_counts(counted: DataFrame) -> list[int]:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(256, np.int64)
-        for batch in batches:
-            symbols, sizes, n = _column(batch)
+        for symbols, sizes, n in _counted(batches):
             total += np.bincount(symbols, weights=np.repeat(n, sizes), minlength=256).astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(range(256), pa.int32()), pa.array(total)], ["symbol", "n"])
 
@@ -277,340 +338,240 @@ def _byte_counts(counted: DataFrame) -> list[int]:
     return counts
 
 
-def _context_counts(counted: DataFrame, code: Code, slot_bits: Sequence[int] = SLOT_BITS) -> np.ndarray:
+def _context_counts(counted: DataFrame, code: Code) -> np.ndarray:
     """(zeros, ones) of every slot over all units."""
-    n_slots = int(_tables(slot_bits)[-1])
+    n_slots = int(TABLES[-1])
     blocks = -(-n_slots // BLOCK)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(2 * BLOCK * blocks, np.float64)
-        for batch in batches:
-            symbols, sizes, n = _column(batch)
-            place, node, bit = code.spell(symbols)
-            weight = np.repeat(n, sizes)[place].astype(np.float64)
-            at = slots(symbols, sizes, place, node, slot_bits)
-            for i in range(ORDERS):
-                np.add.at(total, at[:, i] * 2 + bit, weight)
+        for symbols, sizes, n in _counted(batches):
+            starts = np.cumsum(sizes) - sizes
+            for lo, hi in _parts(sizes, PIECE // 8):
+                own = symbols[starts[lo]:starts[hi - 1] + sizes[hi - 1]]
+                place, node, bit = code.spell(own)
+                weight = np.repeat(n[lo:hi], sizes[lo:hi])[place].astype(np.float64)
+                at = slots(own, sizes[lo:hi], place, node) * 2 + bit[:, None]
+                for i in range(len(SLOT_BITS)):
+                    np.add.at(total, at[:, i], weight)
         total = total.astype(np.int64)
         part = zlib.crc32(total.tobytes()) % 32  # tasks' tables are added up in some groups first
         for i, block in enumerate(total.reshape(blocks, -1)):
             if block.any():
-                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([part], pa.int32()), pa.array([zlib.compress(block.tobytes(), 1)], pa.binary())],
-                                                 ["block", "part", "counts"])
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([part], pa.int32()), pa.array([_squeezed(block)], pa.binary())], ["block", "part", "counts"])
 
     def add(group: pa.Table) -> pa.Table:
         total = np.zeros(2 * BLOCK, np.int64)
         for x in group["counts"]:
-            total += np.frombuffer(zlib.decompress(x.as_py()), np.int64)
-        return pa.table({"block": group["block"][:1], "part": group["part"][:1], "counts": pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())})
+            total += _numbers(x.as_py(), np.int64)
+        return pa.table({"block": group["block"][:1], "part": group["part"][:1], "counts": pa.array([_squeezed(total)], pa.binary())})
 
     shape = "block int, part int, counts binary"
     tables = counted.mapInArrow(run, shape).groupBy("block", "part").applyInArrow(add, shape)
     tables = tables.groupBy("block").applyInArrow(add, shape)
     out = np.zeros((blocks, 2 * BLOCK), np.int64)
-    for r in tables.toLocalIterator():  # one row a block
-        out[r["block"]] = np.frombuffer(zlib.decompress(bytes(r["counts"])), np.int64)
+    for r in tables.toLocalIterator():  # one row a block, as many as TABLES need at every size
+        out[r["block"]] = _numbers(bytes(r["counts"]), np.int64)
     return out.reshape(-1, 2)[:n_slots]
 
 
-def _grown_counts(counted: DataFrame, code: Code) -> tuple[np.ndarray, list[int]]:
-    """The counts of the first three predictors, in tables with room for what the corpus has, and the tables' slot bits."""
-    slot_bits = [*SLOT_BITS[:-1], 1]  # the last has no table
-    while True:
-        counts, tables = _context_counts(counted, code, slot_bits), _tables(slot_bits)
-        wanted = list(slot_bits)
-        for i, bits in enumerate(slot_bits[:-1]):
-            free = float((counts[tables[i]:tables[i + 1]].sum(1) == 0).mean())
-            contexts = -math.log(max(free, 2.0 ** -bits)) * 2 ** bits  # as many as leave that share free
-            if contexts >= 1:
-                wanted[i] = max(bits, math.ceil(math.log2(ROOM * contexts)))
-        if wanted == slot_bits:
-            return counts, slot_bits
-        slot_bits = wanted
-
-
-def _added_up(context: np.ndarray, symbol: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Counts of equal (context, symbol), ordered by both."""
-    order = np.lexsort((symbol, context))
-    context, symbol, n = context[order], symbol[order], n[order]
-    first = np.flatnonzero(np.concatenate((np.ones(min(len(n), 1), bool), (context[1:] != context[:-1]) | (symbol[1:] != symbol[:-1]))))
-    return context[first], symbol[first], np.add.reduceat(n, first) if len(n) else n
-
+def _range_ends(counted: DataFrame, n: int, ranges: int) -> list[bytes]:
+    """Units that part the corpus' units into about equal ranges, from a drawn sample."""
+    if not n:
+        return []
+    drawn = sorted({bytes(r["raw"]) for r in counted.select("raw").sample(min(1.0, DRAWN * ranges / n), 7).collect()})  # about DRAWN for each range
+    return sorted({drawn[i * len(drawn) // ranges] for i in range(1, ranges)}) if drawn else []
 
-def _by_bucket(context: np.ndarray, buckets: int) -> Iterator[tuple[int, slice]]:
-    """The buckets of ascending contexts, and where each lies; buckets are ranges."""
-    bucket = context * np.uint64(buckets) >> np.uint64(HASHED)
-    used, first = np.unique(bucket, return_index=True)
-    yield from zip(used.tolist(), map(slice, first.tolist(), [*first[1:].tolist(), len(context)]))
 
+def _beginnings(ends: list[bytes]) -> np.ndarray:
+    """Hashes of the contexts that the neighbours of a range's end may share: what the end begins with."""
+    sizes = np.array([len(x) for x in ends], np.int64)
+    return np.unique(_contexts(np.frombuffer(b"".join(ends), np.uint8), sizes)) if len(sizes) else np.zeros(0, np.uint64)
 
-def _successors(counted: DataFrame, buckets: int) -> DataFrame:
-    """``bucket, context, symbol, n`` with one row for each bucket: what followed each context of the last predictor how often, as arrays."""
 
-    def packed(bucket: int, context: np.ndarray, symbol: np.ndarray, n: np.ndarray) -> list:
-        return [pa.array([bucket], pa.int32()), *(pa.array([x], pa.binary()) for x in (_packed(context), symbol.tobytes(), n.tobytes()))]
+def _shared_counts(counted: DataFrame, ends: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What followed each beginning of the ranges' ends how often: contexts, symbols and counts."""
+    wanted = _beginnings(ends)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for held in _together(batches, PIECE):
-            symbols, sizes, n = _column(held)
-            found = _added_up(_contexts(symbols, sizes), symbols, np.repeat(n, sizes))
-            for bucket, own in _by_bucket(found[0], buckets):
-                yield pa.RecordBatch.from_arrays(packed(bucket, *(x[own] for x in found)), names)
+        for symbols, sizes, n in _counted(batches):
+            context = _contexts(symbols, sizes)
+            hit = np.isin(context, wanted)
+            context, symbol, times = _added_up(context[hit], symbols[hit], np.repeat(n, sizes)[hit])
+            yield pa.RecordBatch.from_arrays([pa.array(context.astype(np.int64)), pa.array(symbol.astype(np.int32)), pa.array(times)], ["context", "symbol", "n"])
 
-    def add(group: pa.Table) -> pa.Table:
-        context = np.concatenate([_unpacked(x) for x in group["context"].to_pylist()])
-        symbol, n = (np.frombuffer(b"".join(group[c].to_pylist()), kind) for c, kind in (("symbol", np.uint8), ("n", np.int64)))
-        return pa.Table.from_arrays(packed(group["bucket"][0].as_py(), *_added_up(context, symbol, n)), names)
-
-    names, shape = ["bucket", "context", "symbol", "n"], "bucket int, context binary, symbol binary, n binary"
-    return counted.select(F.col("unit").alias("raw"), "n").mapInArrow(run, shape).groupBy("bucket").applyInArrow(add, shape)
-
-
-def _texts(raws: bytes, sizes: list[int]) -> list[bytes]:
-    """The texts that were stored together."""
-    whole, ends = zlib.decompress(raws), np.cumsum(sizes).tolist()
-    return [whole[end - size:end] for end, size in zip(ends, sizes)]
-
-
-def _asked_of(texts: list[bytes]) -> np.ndarray:
-    """The distinct contexts of the last predictor in the texts."""
-    parts = [np.zeros(0, np.uint64)]
-    for _, some in _small(texts):
-        found, own, _, _ = distinct(*units(some)[:3])
-        parts.append(np.unique(_contexts(found, own)))
-    return np.unique(np.concatenate(parts))
+    found = counted.mapInArrow(run, "context long, symbol int, n long").groupBy("context", "symbol").agg(F.sum("n").alias("n"))
+    got = [(r["context"], r["symbol"], r["n"]) for r in found.toLocalIterator()]  # some for each range
+    context, symbol, n = (np.array(x, np.int64) for x in zip(*got)) if got else (np.zeros(0, np.int64),) * 3
+    return _added_up(context.astype(np.uint64), symbol.astype(np.uint8), n)
 
 
 class Known:
-    """What followed each of a chunk's contexts (ascending)."""
-
-    def __init__(self, contexts: np.ndarray, sizes: np.ndarray, symbols: np.ndarray, n: np.ndarray):
-        self.contexts, self.sizes, self.starts = contexts, sizes, np.cumsum(sizes) - sizes
-        self.symbols, self.n = symbols, n
-
-    def counts(self, code: Code, symbols: np.ndarray, sizes: np.ndarray, place: np.ndarray, node: np.ndarray) -> np.ndarray:
-        """(zeros, ones) of each bit under its unit so far."""
-        found, which = np.unique(_contexts(symbols, sizes), return_inverse=True)
-        at = np.searchsorted(self.contexts, found)
-        own = self.sizes[at]
-        followers = _ranges(self.starts[at], own)
-        seen_place, seen_node, seen_bit = code.spell(self.symbols[followers])
-        cells, cell = np.unique(np.repeat(np.arange(len(found)), own)[seen_place] * 256 + seen_node, return_inverse=True)
-        n = self.n[followers][seen_place].astype(np.float64)
-        total = np.zeros((len(cells) + 1, 2))
+    """What followed each context of a range's units."""
+
+    def __init__(self, code: Code, symbols: np.ndarray, sizes: np.ndarray, n: np.ndarray, ends: list[bytes], shared: tuple[np.ndarray, np.ndarray, np.ndarray]):
+        context, symbol, times = _added_up(_contexts(symbols, sizes), symbols, np.repeat(n, sizes))
+        beginnings = _beginnings(ends)
+        own, every = ~np.isin(context, beginnings), np.isin(shared[0], beginnings)
+        context, symbol, times = _added_up(*(np.concatenate((a[own], b[every])) for a, b in zip((context, symbol, times), shared)))
+        self.code = code
+        self.contexts, which = np.unique(context, return_inverse=True)
+        #: how often each context was a whole word
+        self.words = np.bincount(which, weights=times * BLANK[symbol], minlength=len(self.contexts)).astype(np.int64)
+        place, node, bit = code.spell(symbol)
+        self.cells, cell = np.unique(which[place] * 256 + node, return_inverse=True)
+        self.total = np.zeros((len(self.cells) + 1, 2))
         for b in (0, 1):
-            total[:-1, b] = np.bincount(cell, weights=n * (seen_bit == b), minlength=len(cells))
-        asked = which[place] * 256 + node
-        hit = np.searchsorted(cells, asked)
-        hit[np.append(cells, -1)[hit] != asked] = len(cells)  # never seen
-        return total[hit]
-
-
-class Model:
-    """The code, each slot's log odds, and the gate of each slot of the last predictor."""
-
-    def __init__(self, byte_counts: list[int], odds: np.ndarray, gate: np.ndarray, slot_bits: Sequence[int] = SLOT_BITS):
-        self.odds, self.gate, self.code, self.slot_bits = odds, gate, Code(byte_counts), slot_bits
-
-    @staticmethod
-    def parts(byte_counts: list[int], counts: np.ndarray) -> tuple[list[int], np.ndarray, np.ndarray]:
-        """What a model is built from, out of the corpus' counts."""
-        return (byte_counts, np.log((counts[:, 1] + 0.4) / (counts[:, 0] + 0.4)).astype(np.float32),
-                np.searchsorted(np.array(SEEN), counts.sum(1), side="right").astype(np.int8))
-
-    def bits(self, texts: list[bytes], known: Known | None = None) -> np.ndarray:
-        """Total bits of each text; ``known`` stands for the last predictor's table."""
-        out = np.zeros(len(texts))
-        for first, some in _small(texts):
-            out[first:first + len(some)] = self._bits(some, known)
-        return out
-
-    def _bits(self, texts: list[bytes], known: Known | None) -> np.ndarray:
-        symbols, starts, sizes, until = units(texts)
-        found, own, which, _ = distinct(symbols, starts, sizes)
-        place, node, bit = self.code.spell(found)
-        at = slots(found, own, place, node, self.slot_bits)
-        odds, gate = np.empty(at.shape, np.float32), self.gate.take(at[:, -1])
-        for lo in range(0, len(at), NEAR):
-            odds[lo:lo + NEAR] = self.odds.take(at[lo:lo + NEAR])
-        if known is not None:
-            _, odds[:, -1], gate = self.parts([], known.counts(self.code, found, own, place, node))
-        # signed by the bit that comes, so that a greater sum is a better guess; the rate's root in the odds stands for the rate
-        odds *= np.where(bit, ROOT, -ROOT).astype(np.float32)[:, None]
-        # the distinct units' bits lie behind one another; a text's bits are ranges of them
-        per_symbol = self.code.sizes[found]
-        unit_bits = np.add.reduceat(per_symbol, np.cumsum(own) - own)
-        first = np.cumsum(unit_bits) - unit_bits
-        each = unit_bits[which]
-        before = np.concatenate(([0], np.cumsum(each)))
-        row = np.arange(before[-1], dtype=np.int32)
-        row += np.repeat((first[which] - before[:-1]).astype(np.int32), each)
-        stop = before[until]
-        begin = np.concatenate(([0], stop[:-1]))
-        segments = -(-(stop - begin) // SEGMENT)
-        owner = np.repeat(np.arange(len(texts)), segments)
-        start = begin[owner] + SEGMENT * (np.arange(len(owner)) - np.repeat(np.cumsum(segments) - segments, segments))
-        size = np.minimum(start + SEGMENT, stop[owner]) - start
-        order = np.argsort(-size, kind="stable")  # long segments first
-        cost = np.zeros(len(start))
-        for lanes in np.array_split(order, -(-len(order) // LANES)):
-            cost[lanes] = self._mix(odds, gate, row, start[lanes], size[lanes])
-        return np.bincount(owner, weights=cost, minlength=len(texts))
-
-    @staticmethod
-    def _mix(odds: np.ndarray, gate: np.ndarray, row: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-        """Bits of segments that run side by side; ``size`` falls."""
-        lanes, steps, gates = len(start), int(size[0]), len(SEEN) + 1
-        # a bit's four numbers move as one 16-byte value
-        moved = odds.view(np.complex128).ravel()
-        weights = np.tile((np.array(WEIGHTS) / ROOT).astype(np.float32), (gates * lanes, 1)).view(np.complex128).ravel()
-        own = np.arange(0, gates * lanes, gates)
-        live = np.searchsorted(-size, -np.arange(steps), side="left")
-        out = np.zeros(lanes)
-        with np.errstate(over="ignore"):  # a chance of 0, which the floor below lifts
-            for t in range(0, steps, STEPS):
-                most = int(live[t])
-                if most <= FEW:
-                    own_weights = weights.view(np.float32).reshape(lanes, gates, ORDERS)
-                    for i in range(most):
-                        out[i] += Model._mix_one(odds, gate, row[start[i] + t:start[i] + size[i]], own_weights[i].tolist())
-                    break
-                # a segment's bits lie near one another, so they are fetched segment by segment and then turned
-                at = row.take(start[:most, None] + np.arange(t, min(t + STEPS, steps)), mode="clip")
-                every, pick = np.ascontiguousarray(moved.take(at).T), gate.take(at).T + own[:most]
-                missed = np.zeros(every.shape, np.float32)
-                for x, chosen, miss, n in zip(every, pick, missed, live[t:t + STEPS].tolist()):  # the first n segments have this bit
-                    x, chosen = x[:n].view(np.float32), chosen[:n]
-                    w = weights.take(chosen).view(np.float32)
-                    moves = w * x
-                    off = np.dot(moves.reshape(n, ORDERS), SUM)
-                    np.exp(off, out=off)
-                    off += 1
-                    np.reciprocal(off, out=miss[:n])
-                    for i in range(ORDERS):
-                        moves[i::ORDERS] = miss[:n]
-                    moves *= x
-                    moves += w
-                    weights[chosen] = moves.view(np.complex128)
-                np.subtract(1, missed, out=missed)
-                np.maximum(missed, 1e-9, out=missed)
-                out[:most] -= np.log2(missed, out=missed).sum(0, dtype=np.float64)
-        return out
-
-    @staticmethod
-    def _mix_one(odds: np.ndarray, gate: np.ndarray, row: np.ndarray, weights: list[list[float]]) -> float:
-        """Bits of one segment's ``row``, from the weights of each gate on."""
-        cost = 0.0
-        for lo in range(0, len(row), NEAR):
-            some = row[lo:lo + NEAR]
-            for (a, b, c, d), g in zip(odds.take(some, axis=0).tolist(), gate.take(some).tolist()):
-                w = weights[g]
-                miss = 1 / (1 + math.exp(min(w[0] * a + w[1] * b + w[2] * c + w[3] * d, 700.0)))
-                cost -= math.log2(max(1 - miss, 1e-9))
-                w[0] += miss * a
-                w[1] += miss * b
-                w[2] += miss * c
-                w[3] += miss * d
-        return cost
-
-
-def _model(shared) -> Model:
-    return held(("mixing", shared), lambda: Model(*shared.value))
-
-
-def _scored(rows: DataFrame, kind: T.DataType, model, buckets: int, wide: bool) -> DataFrame:
-    """A row for each chunk of texts (bucket -1: its documents with their bits, and how often each has which of the chunk's words)
-    and one for each chunk and bucket (the chunk's distinct words in it, blank-separated).
-
-    Words are numbered by bucket, and in a bucket as they stand in its row.  If ``wide``, the first row has the texts instead of bits.  The chunk's name is drawn, so the rows must be stored before use.
+            self.total[:-1, b] = np.bincount(cell, weights=times[place] * (bit == b), minlength=len(self.cells))
+        seen = self.total.sum(1)
+        self.steps, self.often, self.seen = steps_of(self.total), seen >= SEEN[1], seen >= SEEN[0]
+
+    def answer(self, symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For units: a byte for each bit, the bits of each unit, and how often its word was seen."""
+        found = _contexts(symbols, sizes)
+        context = np.searchsorted(self.contexts, found)
+        context[np.append(self.contexts, np.uint64(1 << HASHED))[context] != found] = len(self.contexts)
+        words = np.append(self.words, 0)[context[np.cumsum(sizes) - 1]]
+        place, node, bit = self.code.spell(symbols)
+        wanted = context[place] * 256 + node
+        cell = np.searchsorted(self.cells, wanted)
+        cell[np.append(self.cells, -1)[cell] != wanted] = len(self.cells)
+        out = coded(self.steps[cell], bit, self.often[cell])
+        out[~self.seen[cell]] = UNSEEN
+        return out, np.add.reduceat(self.code.sizes[symbols], np.cumsum(sizes) - sizes), words
+
+
+def _answers(chunks: DataFrame, counted: DataFrame, code: Code, ends: list[bytes], shared) -> DataFrame:
+    """``chunk, range, words, codes``: for the units that a chunk has in a range, in order, how often each word was seen and a byte for each bit.
+
+    A range holds a bounded number of distinct units.  What all chunks ask
+    of it grows with the corpus, so each range's units go to as many groups
+    as keep the units asked of one group bounded, too.
     """
-    doc_kind = to_arrow_type(kind)
-    docs = pa.struct([("doc_id", doc_kind), ("held_out", pa.bool_()), ("bits", pa.float64()), ("size", pa.int64()), ("words", pa.int32())])
-    shape = pa.schema([("chunk", pa.string()), ("bucket", pa.int32()), ("n", pa.int64()), ("asked", pa.binary()), ("docs", pa.list_(docs)), ("pairs", pa.binary()), ("raws", pa.binary())])
-
-    def chunk(held: pa.Table) -> pa.RecordBatch:
-        raws = bytes_of(held["raw"])
-        number: dict[bytes, int] = {}
-        own = [np.array([number.setdefault(w, len(number)) for w in raw.lower().split()], np.int64) for raw in raws]
-        words = list(number)
-        bucket = np.array([zlib.crc32(w) for w in words], np.int64) % buckets
-        order = np.argsort(bucket, kind="stable")
-        place = np.empty_like(order)
-        place[order] = np.arange(len(order))
-        at, times = zip(*(np.unique(place[w], return_counts=True) for w in own))
-        pairs = np.stack((np.diff(np.concatenate(at), prepend=0), np.concatenate(times))).astype(np.int32)
-        used, first = np.unique(bucket[order], return_index=True)
-        asked = [[words[i] for i in part.tolist()] for part in np.split(order, first[1:])] if len(used) else []
-        name, more = uuid.uuid4().hex, len(used)
-        columns = [held["doc_id"].to_pylist(), held["held_out"].to_pylist(), [None] * len(raws) if wide else _model(model).bits(raws).tolist(), [len(x) for x in raws], [len(w) for w in at]]
-        return pa.RecordBatch.from_arrays([
-            pa.array([name] * (more + 1)), pa.array([-1, *used.tolist()], pa.int32()), pa.array([0, *map(len, asked)], pa.int64()),
-            pa.array([None, *map(b" ".join, asked)], pa.binary()),
-            pa.array([[dict(zip(docs.names, r)) for r in zip(*columns)], *[None] * more], pa.list_(docs)),
-            pa.array([pairs.tobytes(), *[None] * more], pa.binary()),
-            pa.array([zlib.compress(b"".join(raws), 1) if wide else None, *[None] * more], pa.binary())], schema=shape)
+    total = chunks.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    copies = max(1, -(-total // ((len(ends) + 1) * ASKED_UNITS)))
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for held in _together(batches, CHUNK):
-            yield chunk(held)
-
-    return rows.mapInArrow(run, f"chunk string, bucket int, n long, asked binary, docs array<struct<doc_id:{kind.simpleString()},held_out:boolean,bits:double,size:bigint,words:int>>, pairs binary, raws binary")
-
-
-def _asked_counts(scored: DataFrame, words: DataFrame, buckets: int) -> DataFrame:
-    """``chunk, bucket, counts``: the count of each word that a chunk asks for, in its row's order.
-
-    A bucket holds a bounded number of distinct words.  What all chunks ask
-    of it grows with the corpus, so each bucket's counts go to as many
-    groups as keep the words asked of one group bounded, too.
-    """
-    asked = scored.filter("bucket >= 0").select("chunk", "bucket", "n", "asked")
-    total = asked.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
-    copies = max(1, -(-total // (buckets * ASKED_WORDS)))
-    asked = asked.withColumn("copy", F.pmod(F.xxhash64("chunk"), F.lit(copies)).cast("int"))
-    held = words.select((F.crc32("word") % buckets).cast("int").alias("h_bucket"), F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("h_copy"), "word", "n")
+    def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, raw, sizes in zip(*(batch[c].to_pylist() for c in ("chunk", "units", "sizes"))):
+                raw, sizes = zlib.decompress(raw), _numbers(sizes, np.int64)
+                stop = np.concatenate(([0], np.cumsum(sizes)))
+                own = [raw[a:b] for a, b in zip(stop[:-1].tolist(), stop[1:].tolist())]
+                cut = [0, *(bisect_left(own, x) for x in ends), len(own)]
+                used = [i for i in range(len(cut) - 1) if cut[i] < cut[i + 1]]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([chunk] * len(used), pa.string()), pa.array(used, pa.int32()),
+                    pa.array([zlib.compress(raw[stop[cut[i]]:stop[cut[i + 1]]], 1) for i in used], pa.binary()),
+                    pa.array([_squeezed(sizes[cut[i]:cut[i + 1]]) for i in used], pa.binary())], ["chunk", "range", "units", "sizes"])
+
+    def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for some in _together(batches, PIECE):
+            raw, n = some["raw"].to_pylist(), some["n"].to_pylist()
+            by_range: dict[int, list[int]] = {}
+            for i, x in enumerate(raw):
+                by_range.setdefault(bisect_right(ends, x), []).append(i)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(list(by_range), pa.int32()), pa.array([zlib.compress(b"".join([raw[i] for i in own]), 1) for own in by_range.values()], pa.binary()),
+                pa.array([_squeezed(np.array([len(raw[i]) for i in own], np.int64)) for own in by_range.values()], pa.binary()),
+                pa.array([_squeezed(np.array([n[i] for i in own], np.int64)) for own in by_range.values()], pa.binary())], ["h_range", "units", "sizes", "n"])
 
     def look_up(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        count = dict(zip(right["word"].to_pylist(), right["n"].to_pylist()))
-        found = [np.array([count.get(w, 0) for w in x.split(b" ")], np.int64) for x in left["asked"].to_pylist()]
-        return pa.table({"chunk": left["chunk"], "bucket": left["bucket"], "counts": pa.array([x.tobytes() for x in found], pa.binary())})
+        if not left.num_rows:
+            return pa.table({"chunk": pa.array([], pa.string()), "range": pa.array([], pa.int32()), "words": pa.array([], pa.binary()), "codes": pa.array([], pa.binary())})
+        at = left["range"][0].as_py()
+        join = lambda t, c, kind: np.concatenate([np.zeros(0, kind), *(_numbers(x, kind) for x in t[c].to_pylist())])
+        blob = lambda t: np.frombuffer(b"".join([zlib.decompress(x) for x in t["units"].to_pylist()]), np.uint8)
+        known = Known(code, blob(right), join(right, "sizes", np.int64), join(right, "n", np.int64), ends[max(at - 1, 0):at + 1], shared)
+        symbols, sizes = blob(left), join(left, "sizes", np.int64)
+        starts = np.cumsum(sizes) - sizes
+        whole = np.concatenate([np.zeros(0, np.uint64), *(_prefixes(symbols[starts[a]:starts[b - 1] + sizes[b - 1]], starts[a:b] - starts[a], sizes[a:b])[1] for a, b in _parts(sizes, PIECE))])
+        _, first, which = np.unique(whole, return_index=True, return_inverse=True)
+        codes, bits, words = [np.zeros(0, np.uint8)], [], []
+        for a in range(0, len(first), TOGETHER):  # each distinct unit once, whatever the chunks that ask for it
+            some = first[a:a + TOGETHER]
+            found = known.answer(symbols[_ranges(starts[some], sizes[some])], sizes[some])
+            for to, x in zip((codes, bits, words), found):
+                to.append(x)
+        codes, bits, words = (np.concatenate(x) for x in (codes, bits, words))
+        begin, lo, out = np.cumsum(bits) - bits, 0, []
+        for x in left["sizes"].to_pylist():
+            own = which[lo:lo + len(_numbers(x, np.int64))]
+            out.append((words[own].tobytes(), codes[_ranges(begin[own], bits[own])].tobytes()))
+            lo += len(own)
+        return pa.table({"chunk": left["chunk"], "range": left["range"], "words": pa.array([a for a, _ in out], pa.binary()), "codes": pa.array([b for _, b in out], pa.binary())})
+
+    asked = chunks.select("chunk", "units", "sizes").mapInArrow(ask, "chunk string, range int, units binary, sizes binary")
+    asked = asked.withColumn("copy", F.pmod(F.xxhash64("chunk"), F.lit(copies)).cast("int"))
+    holds = counted.mapInArrow(place, "h_range int, units binary, sizes binary, n binary").withColumn("h_copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    return asked.groupBy("range", "copy").cogroup(holds.groupBy("h_range", "h_copy")).applyInArrow(look_up, "chunk string, range int, words binary, codes binary")
 
-    return asked.groupBy("bucket", "copy").cogroup(held.groupBy("h_bucket", "h_copy")).applyInArrow(look_up, "chunk string, bucket int, counts binary")
 
+class Model:
+    """The code, and the log odds of each slot of the first three predictors in steps."""
+
+    def __init__(self, byte_counts: list[int], steps: np.ndarray):
+        self.code, self.steps = Code(byte_counts), steps
+
+    def codes(self, symbols: np.ndarray, sizes: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Four bytes for each bit of the units, one for each predictor; ``last`` are those of the last one."""
+        out = np.empty((len(last), ORDERS), np.uint8)
+        out[:, -1] = last
+        starts, lo = np.cumsum(sizes) - sizes, 0
+        for a, b in _parts(sizes, PIECE // 8):
+            own = symbols[starts[a]:starts[b - 1] + sizes[b - 1]]
+            place, node, bit = self.code.spell(own)
+            out[lo:lo + len(bit), :-1] = coded(self.steps[slots(own, sizes[a:b], place, node)], bit[:, None])
+            lo += len(bit)
+        return out
 
-def _asked_contexts(scored: DataFrame, successors: DataFrame, buckets: int) -> DataFrame:
-    """``chunk, bucket, sizes, symbols, counts``: what followed each context that a chunk asks for, in ascending order within the bucket."""
+    def bits(self, symbols: np.ndarray, sizes: np.ndarray, last: np.ndarray, which: np.ndarray, each: np.ndarray) -> np.ndarray:
+        """Total bits of each text: ``each`` numbers of units of ``which``, the units given by symbols and sizes."""
+        codes = self.codes(symbols, sizes, last).view(np.uint32).ravel()
+        n = np.add.reduceat(self.code.sizes[symbols], np.cumsum(sizes) - sizes) if len(sizes) else sizes
+        first, begin = np.cumsum(n) - n, np.cumsum(each) - each
+        out = np.zeros(len(each))
+        order = np.argsort(-each, kind="stable")  # long texts first
+        for lo in range(0, len(order), LANES):
+            lanes = order[lo:lo + LANES]
+            out[lanes] = mixed(codes, first, n, which, begin[lanes], each[lanes])
+        return out / np.log(2)
+
+
+def mixed(codes: np.ndarray, first: np.ndarray, n: np.ndarray, which: np.ndarray, begin: np.ndarray, each: np.ndarray) -> np.ndarray:
+    """Coding cost (in nats) of texts that are mixed side by side; ``each``, their numbers of units, falls."""
+    lanes = len(each)
+    weights = np.tile(np.array(WEIGHTS, np.float32), (lanes, 1))
+    wide = weights.view(np.complex128).ravel()  # a bit's four weights move as one 16-byte value
+    shift = np.zeros(lanes * CELLS, np.float32)
+    cost = np.zeros(lanes)
+    for t in range(0, int(each[0]), BEAT):
+        live = int(np.searchsorted(-each, -t, side="left"))
+        taken = np.minimum(each[:live] - t, BEAT)
+        unit = which[_ranges(begin[:live] + t, taken)]
+        size = n[unit]
+        lane = np.repeat(np.repeat(np.arange(live), taken), size)
+        byte = codes[_ranges(first[unit], size)].view(np.uint8).reshape(-1, ORDERS)
+        x = ODDS.take(byte)
+        own = lane * GATES + GATE.take(byte[:, -1])
+        moved = wide.take(own).view(np.float32).reshape(-1, ORDERS)
+        moved *= x
+        z = (moved[:, 0] + moved[:, 1]) + (moved[:, 2] + moved[:, 3])
+        np.clip(z, -FAR, FAR, out=z)
+        sign = np.sign(z)
+        cell = lane * CELLS + np.minimum(np.abs(z), CELLS - 1).astype(np.int64)
+        off, refined = np.exp(-z), np.exp(-(z + sign * shift.take(cell)))
+        cost[:live] += np.bincount(lane, weights=np.log1p(refined), minlength=live)
+        off /= 1 + off
+        refined /= 1 + refined
+        x *= (off * np.float32(RATE))[:, None]
+        for i in range(ORDERS):
+            weights[:live * GATES, i] += np.bincount(own, weights=x[:, i], minlength=live * GATES)
+        shift[:live * CELLS] += np.bincount(cell, weights=refined * sign * np.float32(MAP_RATE), minlength=live * CELLS)
+    return cost
 
-    def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for chunk, raws, sizes in zip(batch["chunk"].to_pylist(), batch["raws"], batch["sizes"]):
-                asked = _asked_of(_texts(raws.as_py(), sizes.as_py()))
-                found = [(b, asked[own]) for b, own in _by_bucket(asked, buckets)]
-                yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(found), pa.string()), pa.array([b for b, _ in found], pa.int32()),
-                                                  pa.array([_packed(x) for _, x in found], pa.binary())], ["chunk", "bucket", "asked"])
-
-    held = scored.filter("bucket < 0").select("chunk", "raws", F.col("docs.size").alias("sizes"))
-    # a chunk asks for fewer contexts than it has bytes and ends
-    total = scored.filter("bucket < 0").select(F.explode("docs").alias("d")).agg(F.coalesce(F.sum(F.col("d.size") + 1), F.lit(0)).alias("n")).first()["n"]
-    copies = max(1, -(-total // (buckets * ASKED_CONTEXTS)))
-    asked = held.mapInArrow(ask, "chunk string, bucket int, asked binary").withColumn("copy", F.pmod(F.xxhash64("chunk"), F.lit(copies)).cast("int"))
-    right = successors.select(F.col("bucket").alias("h_bucket"), F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("h_copy"), "context", "symbol", "n")
 
-    def look_up(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        context = _unpacked(b"".join(right["context"].to_pylist()))  # one row at most
-        symbol, n = (np.frombuffer(b"".join(right[c].to_pylist()), kind) for c, kind in (("symbol", np.uint8), ("n", np.int64)))
-        out: list[list[bytes]] = [[], [], []]
-        for x in left["asked"]:
-            wanted = _unpacked(x.as_py())
-            first = np.searchsorted(context, wanted)
-            sizes = np.searchsorted(context, wanted, side="right") - first
-            at = _ranges(first, sizes)
-            for to, part in zip(out, (sizes.astype(np.uint16), symbol[at], n[at].astype(np.float32))):
-                to.append(part.tobytes())
-        return pa.table({"chunk": left["chunk"], "bucket": left["bucket"], **{c: pa.array(x, pa.binary()) for c, x in zip(("sizes", "symbols", "counts"), out)}})
-
-    return (asked.groupBy("bucket", "copy").cogroup(right.groupBy("h_bucket", "h_copy"))
-            .applyInArrow(look_up, "chunk string, bucket int, sizes binary, symbols binary, counts binary"))
+def _model(shared) -> Model:
+    return held(("mixing", shared), lambda: Model(*shared.value))
 
 
 def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", parts: int = 7, part: int = 2) -> DataFrame:
@@ -625,56 +586,42 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", parts: in
     small_batches(spark)
     out_of = held_out(F.col(doc_id), parts, part)
     rows = docs.select(F.col(doc_id).alias("doc_id"), out_of.alias("held_out"), F.col(text).cast("binary").alias("raw"))
-    teach = rows.filter(~F.col("held_out")).select("raw")
+    kind = rows.schema["doc_id"].dataType
 
-    counted = store(_unit_counts(teach), "unit_counts")
+    chunks = store(_chunks(rows, kind), "unit_chunks")
+    counted = store(_unit_counts(chunks), "unit_counts").withColumnRenamed("unit", "raw")
     byte_counts = _byte_counts(counted)
-    distinct_bytes = counted.agg(F.coalesce(F.sum(F.octet_length("unit")), F.lit(0)).alias("n")).first()["n"]
-    wide = distinct_bytes > NARROW
-    context_buckets = max(BUCKETS, -(-distinct_bytes // BUCKET_BYTES))
-    table, slot_bits = _grown_counts(counted, Code(byte_counts)) if wide else (_context_counts(counted, Code(byte_counts)), SLOT_BITS)
-    model = spark.sparkContext.broadcast((*Model.parts(byte_counts, table), slot_bits))
     # a unit is a word and the sign behind it
-    size = F.octet_length("unit")
-    words = counted.filter(size > 1).groupBy(F.expr("substring(unit, 1, octet_length(unit) - 1)").alias("word")).agg(F.sum("n").alias("n"))
-    words = store(words, "word_counts")
-    sums = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
+    word = F.expr("substring(raw, 1, octet_length(raw) - 1)")
+    per_word = counted.filter(F.octet_length("raw") > 1).groupBy(word.alias("word")).agg(F.sum("n").alias("n"))
+    sums = per_word.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     texts = byte_counts[END]  # one end for each training text
     train_tokens, distinct_tokens = sums["n"] + texts, sums["v"] + (texts > 0)
 
-    buckets = max(BUCKETS, -(-sums["v"] // BUCKET_WORDS))
-    kind = rows.schema["doc_id"].dataType
-    scored = store(_scored(rows, kind, model, buckets, wide), "scored_chunks")
-    counts = _asked_counts(scored, words, buckets)
-    if wide:
-        followers = store(_successors(counted, context_buckets), "context_counts")
-        counts = counts.unionByName(_asked_contexts(scored, followers, context_buckets), allowMissingColumns=True)
+    n_units = counted.count()
+    ends = _range_ends(counted, n_units, max(RANGES, -(-n_units // RANGE_UNITS)))
+    model = spark.sparkContext.broadcast((byte_counts, steps_of(_context_counts(counted, Code(byte_counts)))))
+    answers = _answers(chunks, counted, Code(byte_counts), ends, _shared_counts(counted, ends))
 
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         docs = left["docs"].combine_chunks().flatten()
-        bits = docs.field("bits")
-        if wide:
-            raws = _texts(left["raws"][0].as_py(), docs.field("size").to_pylist())
-            of_contexts = right.filter(pa.compute.is_valid(right["sizes"])).sort_by("bucket")
-            right = right.filter(pa.compute.is_null(right["sizes"]))
-            sizes, symbols, n = (np.frombuffer(b"".join(of_contexts[c].to_pylist()), kind)
-                                 for c, kind in (("sizes", np.uint16), ("symbols", np.uint8), ("counts", np.float32)))
-            bits = _model(model).bits(raws, Known(_asked_of(raws), sizes.astype(np.int64), symbols, n))
-        found = sorted(zip(right["bucket"].to_pylist(), right["counts"].to_pylist()))
-        count = np.frombuffer(b"".join([x for _, x in found]), np.int64)
-        step, times = np.frombuffer(left["pairs"][0].as_py(), np.int32).reshape(2, -1)
-        word, sizes = np.cumsum(step, dtype=np.int64), docs.field("words").to_numpy()
-        owner = np.repeat(np.arange(len(docs)), sizes)
-        add_up = lambda x: np.bincount(owner, weights=x, minlength=len(docs))
-        n_tokens = add_up(times) + 1  # and the end
-        n_known = add_up(times * (count[word] > 0)) + (texts > 0)
-        base = add_up(times * np.log10(count[word] + 1.0)) + np.log10(texts + 1) - n_tokens * np.log10(train_tokens + distinct_tokens + 1)
-        bits, size = np.asarray(bits), docs.field("size").to_numpy()
+        symbols = np.frombuffer(zlib.decompress(left["units"][0].as_py()), np.uint8)
+        sizes, which = _numbers(left["sizes"][0].as_py(), np.int64), _numbers(left["which"][0].as_py(), np.int32)
+        each = docs.field("units").to_numpy()
+        right = right.sort_by("range")
+        words, last = (np.frombuffer(b"".join(right[c].to_pylist()), kind) for c, kind in (("words", np.int64), ("codes", np.uint8)))
+        bits = _model(model).bits(symbols, sizes, last, which, each)
+        owner = np.repeat(np.arange(len(docs)), each)
+        add_up = lambda x: np.bincount(owner, weights=x[which], minlength=len(docs))
+        is_word = sizes > 1
+        n_tokens = add_up(is_word) + 1  # and the end
+        n_known = add_up(is_word & (words > 0)) + (texts > 0)
+        base = add_up(np.where(is_word, np.log10(words + 1.0), 0.0)) + np.log10(texts + 1) - n_tokens * np.log10(train_tokens + distinct_tokens + 1)
+        size = docs.field("size").to_pylist()
         return pa.table({"doc_id": docs.field("doc_id"), "held_out": docs.field("held_out"), "n_tokens": n_tokens.astype(np.int64),
                          "n_known": n_known.astype(np.int64), "train_tokens": np.full(len(docs), train_tokens, np.int64),
                          "base_score": base, "score": -bits * np.log10(2),
-                         "bits_per_byte": pa.array([b / n if n else None for b, n in zip(bits.tolist(), size.tolist())], pa.float64())})
+                         "bits_per_byte": pa.array([b / n if n else None for b, n in zip(bits.tolist(), size)], pa.float64())})
 
-    chunks = scored.filter("bucket < 0").select("chunk", "docs", "pairs", "raws")
-    return chunks.groupBy("chunk").cogroup(counts.groupBy("chunk")).applyInArrow(
+    return chunks.select("chunk", "docs", "units", "sizes", "which").groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
         run, f"doc_id {kind.simpleString()}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double")

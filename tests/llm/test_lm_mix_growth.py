@@ -1,106 +1,42 @@
-import math
 import random
-from collections import Counter, defaultdict
 
 import numpy as np
-import pytest
 
 from starloom.llm import lm_mix
 from tests.llm.cases import documents
-from tests.llm.test_lm_mix import _units, bits_of, lower, small, teaches
 
 
-def exact(data):
-    """log10 chances when the last predictor counts each unit so far by itself and the others have tables of ``SLOT_BITS``."""
-    train = [lower(r[1]) for r in data if teaches(r[0])]
-    symbols = Counter(b for raw in train for b in raw + b"\xff")
-    code = lm_mix.Code([symbols.get(s, 0) for s in range(256)])
-    counts = defaultdict(lambda: [0, 0])
-
-    def cells(unit):
-        out, k = [], 0
-        for i, symbol in enumerate(unit):
-            lo = int(code.starts[symbol])
-            for node in code.nodes[lo:lo + code.sizes[symbol]].tolist():
-                slots, bit = bits[unit][k]
-                out.append(([*((j, s) for j, s in enumerate(slots[:3])), (unit[:i], node)], bit))
-                k += 1
-        return out
-
-    every = {u for r in data for u in _units(lower(r[1]))}
-    bits = {u: bits_of(code, u) for u in every}
-    spelled = {u: cells(u) for u in every}
-    for raw in train:
-        for unit in _units(raw):
-            for keys, bit in spelled[unit]:
-                for key in keys:
-                    counts[key][bit] += 1
-    out = []
-    for doc_id, text, *_ in data:
-        total, at, weights = 0.0, 0, None
-        for unit in _units(lower(text)):
-            for keys, bit in spelled[unit]:
-                if at % lm_mix.SEGMENT == 0:
-                    weights = [list(lm_mix.WEIGHTS) for _ in range(3)]
-                seen = [counts.get(key, [0, 0]) for key in keys]
-                x = [math.log((b + 0.4) / (a + 0.4)) for a, b in seen]
-                w = weights[sum(sum(seen[-1]) >= k for k in lm_mix.SEEN)]
-                chance = 1 / (1 + math.exp(-sum(a * b for a, b in zip(w, x))))
-                total -= math.log2(max(chance if bit else 1 - chance, 1e-9))
-                for i in range(len(w)):
-                    w[i] += lm_mix.RATE * (bit - chance) * x[i]
-                at += 1
-        out.append((repr(doc_id), -total * math.log10(2)))
-    return sorted(out)
-
-
-def test_contexts_asked_by_bucket_match_exact_counts(spark, monkeypatch):
-    monkeypatch.setattr(lm_mix, "NARROW", 0)
-    monkeypatch.setattr(lm_mix, "ROOM", 1)  # tables of the least size, which bits_of knows
-    for name in ("CHUNK", "PIECE"):
-        monkeypatch.setattr(lm_mix, name, 4000)
-    monkeypatch.setattr(lm_mix, "ASKED_CONTEXTS", 100)  # several groups of each bucket
-    data = small()
-    got = sorted((repr(r.doc_id), r.score) for r in lm_mix.score(documents(spark, data)).collect())
-    want = exact(data)
-    assert [a for a, _ in got] == [a for a, _ in want]
-    assert [b for _, b in got] == pytest.approx([b for _, b in want], rel=2e-4)
+def _flat(found):
+    return np.frombuffer(b"".join(found), np.uint8), np.array([len(x) for x in found], np.int64)
 
 
 def test_unseen_words_stay_unseen_in_a_large_vocabulary(spark):
-    """With slots of a fixed number, unseen prefixes fell on used slots."""
+    """What the last predictor knows has no slots that unseen words could share."""
     rng = random.Random(4)
     word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9))
     texts = [" ".join(word() for _ in range(400)) for _ in range(60)]
-    counted = lm_mix._unit_counts(documents(spark, [(i, t, "en", "s", 0) for i, t in enumerate(texts)]).selectExpr("cast(text as binary) raw"))
-    raw = [t.encode() for t in texts]
-    symbols, starts, sizes, _ = lm_mix.units(raw)
-    code = lm_mix.Code(np.bincount(symbols, minlength=256).tolist())
-    rows = sorted(lm_mix._successors(counted, 3).collect(), key=lambda r: r.bucket)  # buckets are ranges
-    context = np.concatenate([lm_mix._unpacked(bytes(r.context)) for r in rows])
-    symbol, n = (np.frombuffer(b"".join(bytes(r[c]) for r in rows), k) for c, k in (("symbol", np.uint8), ("n", np.int64)))
-    prefixes = Counter(u[:i] for t in raw for u in _units(t) for i in range(len(u)))
-    stored, followers = np.unique(context, return_counts=True)
-    assert (np.diff(context.astype(np.int64)) >= 0).all() and len(stored) == len(prefixes) and n.sum() == sum(prefixes.values())
-
-    own = np.frombuffer(b"zzzzzzzzzzz ", np.uint8)
-    sizes_ = np.array([len(own)])
-    asked = lm_mix._contexts(own, sizes_)
-    contexts = np.union1d(stored, asked)
-    size = np.zeros(len(contexts), np.int64)
-    size[np.searchsorted(contexts, stored)] = followers
-    place, node, _ = code.spell(own)
-    seen = lm_mix.Known(contexts, size, symbol, n).counts(code, own, sizes_, place, node).sum(1)
-    unseen = np.isin(place, np.flatnonzero(~np.isin(asked, stored)))
-    assert unseen.any() and not seen[unseen].any() and seen[0] == len(sizes)
-
-
-def test_tables_grow_until_an_eighth_is_used(spark, monkeypatch):
-    monkeypatch.setattr(lm_mix, "SLOT_BITS", (4, 5, 6, 21))
-    data = documents(spark, small()).selectExpr("cast(text as binary) raw")
-    counted = lm_mix._unit_counts(data).cache()
-    counts, slot_bits = lm_mix._grown_counts(counted, lm_mix.Code(lm_mix._byte_counts(counted)))
-    tables = lm_mix._tables(slot_bits)
-    for i in range(3):
-        assert (counts[tables[i]:tables[i + 1]].sum(1) > 0).mean() <= 1 / lm_mix.ROOM
-    assert slot_bits[2] > 6
+    rows = documents(spark, [(i, t, "en", "s", 0) for i, t in enumerate(texts)]).selectExpr("doc_id", "false held_out", "cast(text as binary) raw")
+    counted = lm_mix._unit_counts(lm_mix._chunks(rows, rows.schema["doc_id"].dataType)).collect()
+    every, which, _ = lm_mix.units([t.encode() for t in texts])
+    assert {bytes(r.unit): r.n for r in counted} == dict(zip(every, np.bincount(which).tolist()))
+
+    found, n = [bytes(r.unit) for r in counted], np.array([r.n for r in counted])
+    code = lm_mix.Code([1] * 256)
+    none = np.zeros(0, np.uint64), np.zeros(0, np.uint8), np.zeros(0, np.int64)
+    known = lm_mix.Known(code, *_flat(found), n, [], none)
+    assert len(known.contexts) == len({u[:i] for u in found for i in range(len(u))})
+    asked = b"zzzzzzzzzzz "
+    codes, bits, words = known.answer(*_flat([asked]))
+    first = sum(code.sizes[b] for b in asked[:max(i for i in range(len(asked)) if any(u.startswith(asked[:i]) for u in found)) + 1])
+    assert bits.tolist() == [len(codes)] and (codes[first:] == lm_mix.UNSEEN).all() and codes[0] != lm_mix.UNSEEN and words.tolist() == [0]
+
+
+def test_ranges_of_units_are_bounded_and_cover_all(spark):
+    data = [(i, " ".join(f"w{i}x{k}" for k in range(200)), "en", "s", 0) for i in range(20)]
+    rows = documents(spark, data).selectExpr("doc_id", "false held_out", "cast(text as binary) raw")
+    counted = lm_mix._unit_counts(lm_mix._chunks(rows, rows.schema["doc_id"].dataType)).withColumnRenamed("unit", "raw").cache()
+    n = counted.count()
+    ends = lm_mix._range_ends(counted, n, 10)
+    assert ends == sorted(set(ends)) and 5 <= len(ends) <= 9
+    held = np.bincount([sum(e <= bytes(r.raw) for e in ends) for r in counted.collect()])
+    assert held.sum() == n and held.max() < n / 3
