@@ -549,24 +549,38 @@ def mixed(codes: np.ndarray, first: np.ndarray, n: np.ndarray, which: np.ndarray
         taken = np.minimum(each[:live] - t, BEAT)
         unit = which[_ranges(begin[:live] + t, taken)]
         size = n[unit]
-        lane = np.repeat(np.repeat(np.arange(live), taken), size)
-        byte = codes[_ranges(first[unit], size)].view(np.uint8).reshape(-1, ORDERS)
-        x = ODDS.take(byte)
-        own = lane * GATES + GATE.take(byte[:, -1])
-        moved = wide.take(own).view(np.float32).reshape(-1, ORDERS)
+        stop = np.cumsum(size)[np.cumsum(taken) - 1]
+        start = np.concatenate(([0], stop[:-1]))
+        lane = np.repeat(np.arange(live), stop - start)
+        four = codes.take(_ranges(first[unit], size))
+        x = ODDS.take(four.view(np.uint8))
+        own = GATE.take(four >> 24)
+        own += lane * GATES
+        moved = wide.take(own).view(np.float32)
         moved *= x
-        z = (moved[:, 0] + moved[:, 1]) + (moved[:, 2] + moved[:, 3])
-        np.clip(z, -FAR, FAR, out=z)
-        sign = np.sign(z)
-        cell = lane * CELLS + np.minimum(np.abs(z), CELLS - 1).astype(np.int64)
-        off, refined = np.exp(-z), np.exp(-(z + sign * shift.take(cell)))
-        cost[:live] += np.bincount(lane, weights=np.log1p(refined), minlength=live)
-        off /= 1 + off
-        refined /= 1 + refined
-        x *= (off * np.float32(RATE))[:, None]
+        moved = moved.view(np.complex64)  # two sums at once
+        z = (moved[0::2] + moved[1::2]).view(np.float32)
+        z = z[0::2] + z[1::2]
+        np.minimum(z, FAR, out=z)
+        np.maximum(z, -FAR, out=z)
+        sign = np.copysign(np.float32(1), z)
+        sign *= z != 0  # neither bit is likelier then
+        cell = np.minimum(np.abs(z), CELLS - 1).astype(np.int64)
+        cell += lane * CELLS
+        further = shift.take(cell)
+        further *= sign
+        further += z
+        refined = np.exp(-further)
+        one = refined + 1
+        cost[:live] += np.add.reduceat(np.log(one).astype(np.float64), start)
+        refined /= one
+        refined *= sign
+        shift[:live * CELLS] += MAP_RATE * np.bincount(cell, weights=refined, minlength=live * CELLS)
+        off = np.exp(-z)
+        off /= off + 1
+        off *= np.float32(RATE)
         for i in range(ORDERS):
-            weights[:live * GATES, i] += np.bincount(own, weights=x[:, i], minlength=live * GATES)
-        shift[:live * CELLS] += np.bincount(cell, weights=refined * sign * np.float32(MAP_RATE), minlength=live * CELLS)
+            weights[:live * GATES, i] += np.bincount(own, weights=x[i::ORDERS] * off, minlength=live * GATES)
     return cost
 
 
