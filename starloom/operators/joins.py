@@ -53,17 +53,17 @@ def validity_join(facts: DataFrame, versions: DataFrame, key: str, at: str,
     """Join each fact to the version of its key valid at ``at``.
 
     Equi join on the business key plus a range residual; an open end
-    (NULL) means "still valid".  Both sides are split by month as well: a
-    version stands in each month of the facts' span that it covers, so a hot
-    key is one task's work for a month, not for all its history.
+    (NULL) means "still valid".  Both sides are split by month as well, so a
+    hot key is one task's work for a month, not for all its history.  A
+    version stands only in months in which its key has a fact: the facts'
+    distinct (key, month) pairs, reduced before their shuffle, ask for them.
     """
-    first = facts.select(F.min(F.col(at).cast("date"))).scalar()
-    last = facts.select(F.max(F.col(at).cast("date"))).scalar()
-    covered = versions.withColumn("__from", F.greatest(F.col(start).cast("date"), first)) \
-        .withColumn("__to", F.least(F.coalesce(F.col(end).cast("date"), last), last)).filter("__from <= __to")
-    v = covered.withColumn("__vmonth", F.explode(F.sequence(F.trunc("__from", "month"), F.trunc("__to", "month"), F.expr("interval 1 month")))) \
-        .drop("__from", "__to").withColumnRenamed(key, "__vkey")
-    f = facts.withColumn("__fmonth", F.trunc(F.col(at).cast("date"), "month"))
+    month = F.trunc(F.col(at).cast("date"), "month")
+    asked = facts.select(F.col(key).alias("__akey"), month.alias("__vmonth")).filter("__akey IS NOT NULL AND __vmonth IS NOT NULL").distinct()
+    v = versions.withColumnRenamed(key, "__vkey")
+    covers = (F.col("__vmonth") >= F.trunc(v[start].cast("date"), "month")) & (v[end].isNull() | (F.col("__vmonth") <= v[end].cast("date")))
+    v = v.join(asked, (v["__vkey"] == asked["__akey"]) & covers).drop("__akey")
+    f = facts.withColumn("__fmonth", month)
     cond = [
         f[key] == v["__vkey"],
         f["__fmonth"] == v["__vmonth"],

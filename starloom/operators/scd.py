@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.operators.joins import distinct_combinations, top1_per_key
+from starloom.operators.joins import distinct_combinations, nullsafe_key, top1_per_key
 
 
 def last_state_per_day(df: DataFrame, key: str, ts: str, tiebreak: str,
@@ -59,7 +59,8 @@ def scd2_merge(dim: DataFrame, batch_states: DataFrame, key: str, date_col: str,
     """Apply a batch of dated states to an existing type-2 dimension.
 
     New keys get their versions; for known keys, states not newer than the
-    current version's start are ignored (re-running a batch is a no-op),
+    current version's start are ignored (re-running a batch is a no-op;
+    ``late_states`` gives those that the history doesn't hold),
     changed states close the current version (end = new start - 1) and open
     new ones; unchanged states add nothing; states without a key are left
     out.  Returns the full new dimension
@@ -84,6 +85,27 @@ def scd2_merge(dim: DataFrame, batch_states: DataFrame, key: str, date_col: str,
     return keep.unionByName(closed).unionByName(rebuilt.select(*dim.columns))
 
 
+def late_states(dim: DataFrame, batch_states: DataFrame, key: str, date_col: str, attrs: Sequence[str],
+                start: str = "start_date", end: str = "end_date", current: str = "is_current") -> DataFrame:
+    """The states that ``scd2_merge`` passes over and that the stored history contradicts.
+
+    A state that isn't newer than its key's current version and whose
+    attributes differ from those of the version valid on its day, or that
+    lies before the first version.  A batch that was applied before gives
+    none.  NULL and the empty text are one value.
+    """
+    cur = dim.filter(F.col(current)).select(F.col(key).alias("__ckey"), F.col(start).alias("__cur_start"))
+    old = (batch_states.join(cur, (F.col(key) == F.col("__ckey")) & (F.col(date_col).cast("date") <= F.col("__cur_start")))
+           .select(key, date_col, *attrs).distinct())
+    held = dim.select(F.col(key).alias("__vkey"), F.col(start).alias("__from"), F.col(end).alias("__to"),
+                      *[nullsafe_key(a).alias(f"__v{i}") for i, a in enumerate(attrs)])
+    agrees = ((F.col(key) == F.col("__vkey")) & (F.col(date_col).cast("date") >= F.col("__from"))
+              & (F.col("__to").isNull() | (F.col(date_col).cast("date") <= F.col("__to"))))
+    for i, a in enumerate(attrs):
+        agrees = agrees & (nullsafe_key(a) == F.col(f"__v{i}"))
+    return old.join(held, agrees, "left_anti")
+
+
 def lag_within_key(df: DataFrame, key: str, order: Sequence[str], cols: Sequence[str],
                    suffix: str = "_past", bucket: Column | None = None,
                    anonymous: object = None) -> DataFrame:

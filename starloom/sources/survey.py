@@ -18,7 +18,8 @@ from starloom.functions.text import clean_special_text, clean_text, yes_no
 from starloom.operators.conform import conform_columns
 
 # ---------------------------------------------------------------------------
-# Source column -> staging column, per file.
+# Source column -> staging column, per file (the longitudinal
+# file has the staging names already).
 # ---------------------------------------------------------------------------
 HEALTH_SURVEY_COLUMNS = {
     "IDATE": "Date",
@@ -55,36 +56,12 @@ WORKPLACE_COLUMNS = {
     "anonymity_protected": "ComfortLevel",
     "supervisor_support": "ManagerSupport",
 }
-LONGITUDINAL_COLUMNS = {
-    "SourcePersonID": "SourcePersonID",
-    "Year": "Year",
-    "Month": "Month",
-    "Gender": "Gender",
-    "AgeGroup": "AgeGroup",
-    "Education": "Education",
-    "IncomeLevel": "IncomeLevel",
-    "FamilyHistory": "FamilyHistory",
-    "Country": "Country",
-    "State": "State",
-    "NumEmployees": "NumEmployees",
-    "TechCompany": "TechCompany",
-    "CareOptions": "CareOptions",
-    "WellnessProgram": "WellnessProgram",
-    "RemoteWork": "RemoteWork",
-    "Benefits": "Benefits",
-    "WorkInterference": "WorkInterference",
-    "AwarenessLevel": "AwarenessLevel",
-    "KnowledgeLevel": "KnowledgeLevel",
-    "ComfortLevel": "ComfortLevel",
-    "ManagerSupport": "ManagerSupport",
-    "MentalHealthDays": "MentalHealthDays",
-    "SmokingStatus": "SmokingStatus",
-    "ExerciseStatus": "ExerciseStatus",
-    "GeneralHealthStatus": "GeneralHealthStatus",
-    "SeekHelp": "SeekHelp",
-    "Treatment": "Treatment",
-    "FullDate": "FullDate",
-}
+LONGITUDINAL_COLUMNS = ["SourcePersonID", "Year", "Month", "Gender", "AgeGroup", "Education", "IncomeLevel",
+                        "FamilyHistory", "Country", "State", "NumEmployees", "TechCompany", "CareOptions",
+                        "WellnessProgram", "RemoteWork", "Benefits", "WorkInterference", "AwarenessLevel",
+                        "KnowledgeLevel", "ComfortLevel", "ManagerSupport", "MentalHealthDays",
+                        "SmokingStatus", "ExerciseStatus", "GeneralHealthStatus", "SeekHelp", "Treatment",
+                        "FullDate"]
 # Yes/No-style attributes normalised at staging.
 YES_NO_ATTRIBUTES = ["FamilyHistory", "RemoteWork", "Benefits", "SeekHelp", "Treatment",
                      "TechCompany", "CareOptions", "WellnessProgram"]
@@ -100,11 +77,10 @@ def _nullable_int(c: str):
 def stage_health_survey(raw: DataFrame) -> DataFrame:
     """Health-survey file -> staging (13 columns; day count as INT)."""
     s = conform_columns(raw, HEALTH_SURVEY_COLUMNS, [(t, _TEXT) for t in HEALTH_SURVEY_COLUMNS.values()])
-    cols = {c: clean_special_text(c) for c in ["Date", "Month", "Day"]}
-    cols.update({c: clean_text(c) for c in ["State", "Gender", "AgeGroup", "Education", "IncomeLevel",
-                                           "GeneralHealthStatus", "SmokingStatus", "ExerciseStatus",
-                                           "CheckUpStatus"]})
-    cols["MentalHealthDays"] = _nullable_int("MentalHealthDays")
+    wrapped, counted = ["Date", "Month", "Day"], ["MentalHealthDays"]
+    cols = {c: clean_special_text(c) if c in wrapped else clean_text(c)
+            for c in HEALTH_SURVEY_COLUMNS.values() if c not in counted}
+    cols.update({c: _nullable_int(c) for c in counted})
     return s.withColumns(cols)
 
 
@@ -121,8 +97,8 @@ def stage_longitudinal(raw: DataFrame) -> DataFrame:
     first day of Year/Month."""
     ints = ["SourcePersonID", "Year", "Month", "MentalHealthDays"]
     target = [(t, "int" if t in ints else ("date" if t == "FullDate" else _TEXT))
-              for t in LONGITUDINAL_COLUMNS.values()]
-    text = conform_columns(raw, LONGITUDINAL_COLUMNS, [(t, _TEXT) for t, _ in target])
+              for t in LONGITUDINAL_COLUMNS]
+    text = conform_columns(raw, {c: c for c in LONGITUDINAL_COLUMNS}, [(t, _TEXT) for t, _ in target])
     cols = {c: _nullable_int(c) for c in ints}
     cols["FullDate"] = date_from_parts("Year", "Month", to_nullable_date("FullDate"))
     texts = [t for t, kind in target if kind == _TEXT]

@@ -12,8 +12,8 @@ from starloom.operators.joins import nullsafe_join, period_start_join, validity_
 from starloom.operators.keys import dense_ids, next_start
 from starloom.operators.lookups import DuplicateMapKey, Resolution, assert_unique, build_map, resolve, seed_frame
 from starloom.operators.matview import MaterializedAggregate
-from starloom.operators.scd import (first_seen_combinations, lag_within_key, last_state_per_day, scd2_merge,
-                                    scd2_versions)
+from starloom.operators.scd import (first_seen_combinations, lag_within_key, last_state_per_day, late_states,
+                                    scd2_merge, scd2_versions)
 from tests.conftest import SMALL
 
 
@@ -69,6 +69,17 @@ def test_scd2_merge_equals_full_rebuild_and_rerun_is_noop(spark):
     assert rows(again.select(*cols), "user_id", "start_date") == rows(merged.select(*cols), "user_id", "start_date")
 
 
+def test_late_states_are_those_the_history_contradicts(spark):
+    day = lambda n: dt.date(2024, 1, n)
+    dim = scd2_versions(spark.createDataFrame([(1, day(5), "a"), (1, day(10), "b"), (2, day(7), None)], "k int, d date, a string"), "k", "d", ["a"])
+    batch = [(1, day(5), "a"), (1, day(7), "a"), (1, day(7), "x"), (1, day(7), "x"), (1, day(3), "a"), (1, day(10), "b"), (1, day(12), "c"),
+             (2, day(7), ""), (3, day(1), "new"), (None, day(1), "z"), (1, None, "q")]
+    df = spark.createDataFrame(batch, "k int, d date, a string")
+    assert sorted(tuple(r) for r in late_states(dim, df, "k", "d", ["a"]).collect()) == [(1, day(3), "a"), (1, day(7), "x")]
+    assert late_states(scd2_merge(dim, df, "k", "d", ["a"]), df.filter("a = 'c' OR k = 3"), "k", "d", ["a"]).count() == 0
+    assert late_states(dim, df.limit(0), "k", "d", ["a"]).count() == 0
+
+
 def test_bucketed_lag_equals_plain_lag_even_for_a_hot_key(spark):
     ev = events(spark)
     # make one user hold most rows (a hot key) and add anonymous rows
@@ -130,6 +141,18 @@ def test_validity_join_open_end(spark):
         [(dt.date(2024, 1, 5), 1), (dt.date(2024, 3, 1), 2)]
 
 
+def test_validity_join_stands_versions_only_where_facts_are(spark):
+    # an open version of ten years, facts in two months: the version is met twice, not 120 times
+    vers = spark.createDataFrame([(1, dt.date(2014, 1, 1), None, 1), (2, dt.date(2014, 1, 1), dt.date(2014, 1, 31), 2)],
+                                 "k int, start_date date, end_date date, v int")
+    facts = spark.createDataFrame([(1, dt.date(2014, 1, 1), 0), (1, dt.date(2023, 12, 31), 1), (1, None, 2), (None, dt.date(2014, 1, 1), 3),
+                                   (2, dt.date(2014, 1, 31), 4), (2, dt.date(2014, 2, 1), 5)], "k int, d date, i int")
+    assert sorted((r.i, r.v) for r in validity_join(facts, vers, "k", "d").collect()) == [(0, 1), (1, 1), (4, 2)]
+    assert sorted((r.i, r.v) for r in validity_join(facts, vers, "k", "d", how="left").collect() if r.v is None) == [(2, None), (3, None), (5, None)]
+    plan = validity_join(facts, vers, "k", "d")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan
+
+
 def test_period_start_join_is_strict(spark):
     df = spark.createDataFrame([(dt.date(2024, 1, 1),), (dt.date(2024, 1, 9),), (dt.date(2024, 2, 9),)], "d date")
     dd = dim_date(df, "d")

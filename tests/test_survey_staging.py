@@ -56,6 +56,6 @@ def test_longitudinal_staging(spark):
         ["8", "2024", "13", "no", "", "0"],
         ["9", "2024", "1", "", "2024-02-03", "1"],
     ]))
-    assert out.columns == list(LONGITUDINAL_COLUMNS.values())
+    assert out.columns == LONGITUDINAL_COLUMNS
     got = [(r.SourcePersonID, r.FullDate, r.RemoteWork, r.Treatment) for r in out.orderBy("SourcePersonID").collect()]
     assert got == [(7, dt.date(2024, 4, 1), "Yes", None), (8, None, "No", None), (9, dt.date(2024, 2, 3), None, None)]
