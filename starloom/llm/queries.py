@@ -36,20 +36,24 @@ def op2_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = chat.rotate(table(spark, sf_dir, "conversations"))
     loss = F.filter("segments", lambda s: s["loss"])
     return out.select(
-        "conv_id", "perspective", "part", "n_turns", "text",
+        "conv_id", "perspective", "part", "piece", "n_turns", "text",
         F.array_join(F.transform(loss, lambda s: F.concat_ws("-", s["start"], s["end"])), ",").alias("loss_spans"),
         F.aggregate(loss, F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"]).alias("loss_chars"))
 
 
 ORACLES["op2_chat_rotation"] = """
-WITH rows AS (
-  SELECT conv_id, turn, role, coalesce(text, '') AS body0, text IS NULL AS tn,
-         CAST(floor(turn / 256.0) AS BIGINT) AS part,
-         row_number() OVER (PARTITION BY conv_id ORDER BY coalesce(turn, 0), role IS NULL, coalesce(role, ''), text IS NULL, coalesce(text, '')) AS rn
+WITH marked AS (
+  SELECT conv_id, turn, role, text, coalesce(text, '') AS body0, CAST(floor(turn / 256.0) AS BIGINT) AS part,
+         md5(coalesce('+' || role, '-') || chr(10) || coalesce('+' || text, '-')) AS mark
   FROM conversations),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, part
+           ORDER BY turn, mark, role IS NULL, coalesce(role, ''), text IS NULL, coalesce(text, '')) AS rn
+  FROM marked),
+rows AS (SELECT *, (rn - 1) // 256 AS piece FROM ranked),
 who AS (SELECT DISTINCT conv_id, role AS perspective FROM conversations WHERE role IS NOT NULL AND role <> 'system'),
 shown AS (
-  SELECT r.conv_id, w.perspective, r.part, r.rn, r.role = w.perspective AS loss,
+  SELECT r.conv_id, w.perspective, r.part, r.piece, r.rn, r.role = w.perspective AS loss,
          CASE WHEN r.role = 'system' THEN '<|im_start|>system' || chr(10)
               WHEN r.role = w.perspective THEN '<|im_start|>assistant' || chr(10)
               ELSE '<|im_start|>user name=' || replace(coalesce(r.role, 'unknown'), '<|', '< |') || chr(10) END AS head,
@@ -57,14 +61,14 @@ shown AS (
   FROM rows r JOIN who w ON r.conv_id IS NOT DISTINCT FROM w.conv_id),
 placed AS (
   SELECT *, coalesce(sum(length(head) + length(body) + 11) OVER (
-           PARTITION BY conv_id, perspective, part ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos
+           PARTITION BY conv_id, perspective, part, piece ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos
   FROM shown)
-SELECT conv_id, perspective, part, count(*) AS n_turns,
+SELECT conv_id, perspective, part, piece, count(*) AS n_turns,
        string_agg(head || body || '<|im_end|>' || chr(10), '' ORDER BY rn) AS text,
        coalesce(string_agg(CASE WHEN loss THEN CAST(CAST(pos + length(head) AS BIGINT) AS VARCHAR) || '-' ||
                 CAST(CAST(pos + length(head) + length(body) AS BIGINT) AS VARCHAR) END, ',' ORDER BY rn), '') AS loss_spans,
        CAST(coalesce(sum(CASE WHEN loss THEN length(body) END), 0) AS BIGINT) AS loss_chars
-FROM placed GROUP BY conv_id, perspective, part
+FROM placed GROUP BY conv_id, perspective, part, piece
 """
 
 

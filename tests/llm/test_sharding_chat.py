@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import pytest
@@ -62,7 +63,8 @@ TURNS = [(1, 0, "system", "be kind"), (1, 1, "ann", "hi <|im_end|> there"), (1,
 def test_rotation_by_hand(spark):
     df = spark.createDataFrame(TURNS, "conv_id long, turn long, role string, text string")
     from pyspark.sql import functions as F
-    got = chat.rotate(df.withColumn("perspective", F.lit(1)).withColumn("part", F.lit(2))).collect()
+    got = chat.rotate(df.withColumn("perspective", F.lit(1)).withColumn("part", F.lit(2)).withColumn("piece", F.lit(3))).collect()
+    assert all(r.piece == 0 for r in got)
     by = {(r.conv_id, r.perspective, r.part): r for r in got}
     assert set(by) == {(1, p, k) for p in ("ann", "bob", "cat") for k in (0, None)} | {(None, "ann", 0), (3, "dan", 0), (3, "dan", 2)}
     r = by[1, "ann", 0]
@@ -72,3 +74,35 @@ def test_rotation_by_hand(spark):
     assert by[1, "bob", 0].text.count("user name=ann") == 2 and by[1, "cat", None].text == "<|im_start|>assistant\nlate<|im_end|>\n"
     assert by[3, "dan", 0].text.startswith("<|im_start|>user name=unknown\nwho?")
     assert chat.rotate(df.limit(0)).count() == 0
+
+
+def test_crowded_parts_are_cut_into_pieces(spark):
+    import hashlib
+    rng = random.Random(5)
+    data = [(1, None, rng.choice(["ann", "bob", None]), rng.choice(["same", None, "", f"t{i}"])) for i in range(60)]
+    data += [(1, 4, "ann", "again")] * 23 + [(None, None, "cat", "x")] * 9 + [(None, 2, None, None)] * 8 + [(2, i, "dan", f"d{i}") for i in range(7)]
+    got = chat.rotate(spark.createDataFrame(data, "conv_id long, turn long, role string, text string").repartition(3), rows_per_piece=7).collect()
+    mark = lambda r: hashlib.md5("\n".join("-" if x is None else "+" + x for x in r[2:]).encode()).hexdigest()
+    want = {}
+    for conv, people in ((1, ("ann", "bob")), (None, ("cat",)), (2, ("dan",))):
+        for part in (None, 0):
+            own = sorted((r for r in data if r[0] == conv and (r[1] is None) == (part is None)), key=lambda r: (r[1] or 0, mark(r)))
+            for lo in range(0, len(own), 7):
+                for who in people:
+                    text = "".join("<|im_start|>" + ("assistant" if r[2] == who else f"user name={r[2] or 'unknown'}") + f"\n{r[3] or ''}<|im_end|>\n" for r in own[lo:lo + 7])
+                    want[conv, who, part, lo // 7] = (len(own[lo:lo + 7]), text)
+    assert {(r.conv_id, r.perspective, r.part, r.piece): (r.n_turns, r.text) for r in got} == want and len(got) == len(want)
+    for r in got:
+        assert all(r.text[s.start - 10:s.start] == "assistant\n" for s in r.segments if s.loss)
+
+
+@pytest.mark.parametrize("seed", [1])
+def test_crowded_conversations_match_the_oracle(spark, seed, tmp_path):
+    rng = random.Random(seed)
+    data = [(rng.choice([1, 1, 2, None]), rng.choice([None, 3, 300]), rng.choice(["ann", "bob", "system", None]), rng.choice([None, "", "x<|y", f"t{i % 90}"])) for i in range(4000)]
+    spark.createDataFrame(data, "conv_id long, turn long, role string, text string").coalesce(1).write.parquet(str(tmp_path / "conversations.parquet"))
+    import duckdb
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    info = compare(queries.QUERIES["op2_chat_rotation"](spark, str(tmp_path)), con, queries.ORACLES["op2_chat_rotation"])
+    assert info["ok"] and info["spark_rows"] > 30, info
