@@ -47,7 +47,7 @@ class Band:
     fallback: float = 0.2
 
 
-#: Bands by language; others and texts without a language take their script's, and else ``OTHER``. Texts of fewer tokens are too short to judge.
+#: Bands by language; others and texts without a language take their script's, and else ``OTHER``. Texts of fewer tokens than ``LEAST_TOKENS`` are too short to judge (a parameter of ``annotate``).
 ROMANCE = ((5, 4.0), (6, 4.65), (7, 5.25), (8, 5.68), (9, 5.98), (10, 6.18), (11, 6.35), (12, 6.48), (14, 6.55))
 BANDS = {
     "en": Band(1.5, 1.5, ((5, 4.0), (6, 4.7), (7, 5.35), (8, 5.8), (9, 6.15), (10, 6.38), (11, 6.55), (12, 6.7), (14, 6.8))),
@@ -101,6 +101,7 @@ class Words:
         self.pieces = sentencepiece.SentencePieceProcessor(model_proto=piece_model)
         table = {base64.b64decode(a): int(b) for a, b in (line.split() for line in ranks.splitlines())}
         self.bytes = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
+        self.kind = np.uint16 if self.pieces.vocab_size() <= 1 << 16 else np.uint32
         self.fallback = np.array([self.pieces.is_byte(i) for i in range(self.pieces.vocab_size())])
         self.clear()
 
@@ -118,12 +119,12 @@ class Words:
             self.hashes = np.concatenate((self.hashes, np.zeros_like(self.hashes)))
         text = [w.decode("utf-8", "replace") for w in words]
         for i, (w, t, ids) in enumerate(zip(words, text, self.pieces.encode(text, num_threads=1)), first):
-            own = np.array(ids, np.uint16)
+            own = np.array(ids, self.kind)
             self.number[w] = i
             self.ids.append(own.tobytes())
             self.facts[:, i] = len(t), len(ids), self.fallback[own].sum(), len(self.bytes.encode_ordinary(" " + t))
             self.hashes[i] = xxhash.xxh64_intdigest(w)
-            self.size += len(w) + 2 * len(ids) + MEMO_ENTRY
+            self.size += len(w) + own.nbytes + MEMO_ENTRY
 
 
 def repeated_words(hashes: np.ndarray, window: int = WINDOW) -> int:
@@ -151,15 +152,15 @@ def measure(raw: bytes, known: Words) -> tuple:
     numbers = np.array([known.number[w] for w in words], np.int64)
     chars, tokens, fallback, byte_tokens = known.facts[:, numbers].sum(axis=1).tolist()
     lines = [x for x in raw.split(b"\n") if x.strip()]
-    ids = np.frombuffer(b"".join([known.ids[i] for i in numbers.tolist()]), np.uint16)
+    ids = np.frombuffer(b"".join([known.ids[i] for i in numbers.tolist()]), known.kind)
     counts = np.unique(ids, return_counts=True)[1]
     entropy = float(np.log2(len(ids)) - (counts * np.log2(counts)).sum() / len(ids)) if len(ids) else 0.0
     return (len(words), chars, len(raw) - len(raw.translate(None, SYMBOLS)), len(lines) - len(set(lines)),
             repeated_words(known.hashes[numbers]), tokens, fallback, byte_tokens, max(entropy, 0.0))
 
 
-def in_band(band: Band, word_chars: int, tokens: int, fallback: int, byte_tokens: int, entropy: float) -> bool:
-    if tokens < LEAST_TOKENS:
+def in_band(band: Band, word_chars: int, tokens: int, fallback: int, byte_tokens: int, entropy: float, least_tokens: int = LEAST_TOKENS) -> bool:
+    if tokens < least_tokens:
         return True
     least = np.interp(np.log2(tokens), *zip(*band.least_bits))
     return bool(band.piece_low * tokens <= word_chars <= band.piece_high * tokens and band.byte_low * byte_tokens <= word_chars
@@ -182,13 +183,15 @@ def _words(piece_model, ranks) -> Words:
 
 
 def annotate(docs: DataFrame, piece_model_file: str, ranks_file: str, text: str = "text", lang: str = "lang",
-             bands: dict[str, Band] | None = None, other: Band = OTHER, scripts: dict[str, Band] | None = None) -> DataFrame:
+             bands: dict[str, Band] | None = None, other: Band = OTHER, scripts: dict[str, Band] | None = None,
+             least_tokens: int = LEAST_TOKENS) -> DataFrame:
     """``docs`` with the columns of ``STATE``.
 
     ``base_failed``: fewer than 20 words, or over 30 in a hundred words
     stand in repeated windows of 8.  ``kept``: not so, and in the
     language's band, or where ``bands`` has none in that of the text's
-    script, or in ``other``.  Null and empty texts have no words and fail.  Repeated
+    script, or in ``other``; a text of fewer than ``least_tokens`` piece
+    tokens is too short for a band and kept if the base rules keep it.  Null and empty texts have no words and fail.  Repeated
     rows are judged each; columns of ``docs`` named as those added give way.
     """
     spark = docs.sparkSession
@@ -216,7 +219,7 @@ def annotate(docs: DataFrame, piece_model_file: str, ranks_file: str, text: str
                     m = measure(x, known)
                     failed = m[0] < 20 or 100 * m[4] > 30 * m[0]
                     band = None if failed else bands.get(language) or scripts.get(script(x), other)
-                    rows.append((*m, failed, band is not None and in_band(band, m[1], *m[5:])))
+                    rows.append((*m, failed, band is not None and in_band(band, m[1], *m[5:], least_tokens)))
                 columns = list(zip(*rows)) if rows else [()] * len(STATE.fields)
                 kinds = [pa.int64()] * 8 + [pa.float64(), pa.bool_(), pa.bool_()]
                 yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array(c, k) for c, k in zip(columns, kinds))],

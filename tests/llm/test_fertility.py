@@ -64,3 +64,9 @@ def test_columns_bands_and_empty(spark):
     assert fertility.annotate(documents(spark, []), *FILES).count() == 0
     strict = {k: fertility.Band(99.0, 0.0, ((0, 0.0), (1, 0.0))) for k in ("en", "fr", "de")}
     assert all(r.lang not in strict for r in fertility.keep(df, *FILES, bands=strict).collect())
+
+
+def test_short_texts_are_too_short_for_a_band_by_parameter():
+    strict = fertility.Band(99.0, 0.0, ((0, 0.0), (1, 0.0)))
+    assert fertility.in_band(strict, 40, 20, 0, 20, 4.0) and not fertility.in_band(strict, 40, 32, 0, 32, 4.0)
+    assert not fertility.in_band(strict, 40, 20, 0, 20, 4.0, least_tokens=0)
