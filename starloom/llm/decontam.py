@@ -10,7 +10,8 @@ longest match, which may be shorter than a window.
 
 The benchmark is the query set.  It is sent to the tasks in blocks of
 bounded size, and documents stream through one pass per block; nothing is
-shuffled.
+shuffled.  After every few blocks the rows are written and read again and
+those blocks let go, so a benchmark of any size takes bounded memory.
 """
 
 from __future__ import annotations
@@ -19,11 +20,12 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.common import bytes_of, held, number_of, numbered, pieces, small_batches
+from starloom.llm.common import bytes_of, held, number_of, numbered, pieces, small_batches, store
 
 #: Separators become blanks, A-Z lower case; the rest of ASCII and all other bytes are word bytes.
 WORDS = bytes(32 if b < 0x30 or 0x3A <= b <= 0x40 or 0x5B <= b <= 0x60 or 0x7B <= b <= 0x7F else b + 32 if 0x41 <= b <= 0x5A else b
@@ -31,6 +33,8 @@ WORDS = bytes(32 if b < 0x30 or 0x3A <= b <= 0x40 or 0x5B <= b <= 0x60 or 0x7B <
 #: Benchmark bytes sent in one block, and training bytes in one suffix array.
 BLOCK_BYTES = 32 << 20
 SHARD_BYTES = 8 << 20
+#: Blocks that are with the tasks at one time.
+CHAIN = 4
 
 STATE = T.StructType([
     T.StructField("__sa_words", T.LongType()), T.StructField("__sa_hit", T.LongType()),
@@ -200,7 +204,7 @@ def blocks(bench: DataFrame, item_id: str, text: str, most: int) -> Iterator[lis
 
 
 def annotate(docs: DataFrame, bench: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
-             window: int = 13, block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+             window: int = 13, block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES, chain: int = CHAIN) -> DataFrame:
     """``docs`` with the columns of ``STATE``: words, words hit, hit ranges, items, longest match (words, item, first word).
 
     Null and empty texts have no words and no hit.  A benchmark text without
@@ -212,17 +216,37 @@ def annotate(docs: DataFrame, bench: DataFrame, text: str = "text", item_id: str
     docs = docs.drop(*STATE.names)
     small_batches(spark)
     schema = T.StructType([*docs.schema.fields, *STATE.fields])
-    out = docs
+    out, live = docs, []
     for k, block in enumerate(blocks(bench, item_id, item_text, block_bytes)):
-        out = out.mapInArrow(_pass(docs.columns, text, spark.sparkContext.broadcast(block), window, shard_bytes, k), schema)
+        if len(live) == chain:
+            out = store(out, "decontam")
+            for sent in live:
+                sent.unpersist()
+            live = []
+        live.append(spark.sparkContext.broadcast(block))
+        out = out.mapInArrow(_pass(docs.columns, text, live[-1], window, shard_bytes, k), schema)
     return out
 
 
+def _gathered(batches: Iterable[pa.RecordBatch], at: int, most: int) -> Iterator[pa.RecordBatch]:
+    """Successive batches as one as long as column ``at`` holds at most ``most`` bytes in them."""
+    own, size = [], 0
+    for batch in batches:
+        n = pa.compute.sum(pa.compute.binary_length(batch.column(at))).as_py() or 0
+        if own and size + n > most:
+            yield from pa.Table.from_batches(own).combine_chunks().to_batches()
+            own, size = [], 0
+        own.append(batch)
+        size += n
+    if own:
+        yield from pa.Table.from_batches(own).combine_chunks().to_batches()
+
+
 def _pass(columns: list[str], text: str, block, window: int, shard_bytes: int, k: int):
     at = columns.index(text)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _gathered(batches, at, shard_bytes):
             raw = pa.RecordBatch.from_arrays([batch.column(at).cast(pa.binary()), pa.array(np.arange(batch.num_rows))], ["raw", "row"])
             for part in pieces([raw], "raw", shard_bytes):
                 lo = part.column(1)[0].as_py()

@@ -51,7 +51,7 @@ def test_report_matches_brute_force_for_any_blocks_and_shards(spark):
     data, bench = case()
     b = spark.createDataFrame(bench, "item_id long, text string")
     want = brute(data, bench)
-    for more in ({}, {"block_bytes": 200, "shard_bytes": 500}):
+    for more in ({}, {"block_bytes": 200, "shard_bytes": 500}, {"block_bytes": 400, "chain": 1}):
         assert found(decontam.report(documents(spark, data, clash=("n_words", "item_id")), b, **more)) == want
 
 
