@@ -279,6 +279,8 @@ def _decoded() -> tuple[np.ndarray, np.ndarray]:
 
 
 ODDS, GATE = _decoded()
+#: The log odds of two bytes at once.
+PAIRS = ODDS.take(np.arange(1 << 16, dtype=np.uint16).view(np.uint8)).view(np.complex64)
 
 
 def _chunks(rows: DataFrame, kind: T.DataType) -> DataFrame:
@@ -553,7 +555,7 @@ def mixed(codes: np.ndarray, first: np.ndarray, n: np.ndarray, which: np.ndarray
         start = np.concatenate(([0], stop[:-1]))
         lane = np.repeat(np.arange(live), stop - start)
         four = codes.take(_ranges(first[unit], size))
-        x = ODDS.take(four.view(np.uint8))
+        x = PAIRS.take(four.view(np.uint16)).view(np.float32)
         own = GATE.take(four >> 24)
         own += lane * GATES
         moved = wide.take(own).view(np.float32)
