@@ -18,7 +18,7 @@ from starloom.operators.upsert import combo_upsert
 from starloom.plans.dimensional import DATE_ATTRS_SQL, SCD2_SQL
 from starloom.plans.registry import register
 from starloom.session import scratch_path
-from starloom.sources.files import append_table, overwrite_table, write_bucketed
+from starloom.sources.files import BUCKET_ROWS, append_table, bucket_count, overwrite_table, write_bucketed
 from starloom.sources.tables import read_table
 
 
@@ -196,10 +196,13 @@ def observed_profile(spark, sf_dir):
 SELECT o.o_orderkey, o.o_orderpriority, count(*) AS n_lines, CAST(SUM(CAST(l.l_quantity AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS quantity
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1, 2
 """)
-def bucketed_star_join(spark, sf_dir, buckets=8):
+def bucketed_star_join(spark, sf_dir, buckets=8, bucket_rows=BUCKET_ROWS):
+    """``buckets`` is the least number; larger tables get more, so that a task's memory does not grow with them."""
     tag = uuid.uuid4().hex[:12]
-    li = write_bucketed(read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_quantity"), f"lineitem_{tag}", scratch_path(spark, "lineitem"), "l_orderkey", buckets)
-    o = write_bucketed(read_table(spark, sf_dir, "orders", "o_orderkey", "o_orderpriority"), f"orders_{tag}", scratch_path(spark, "orders"), "o_orderkey", buckets)
+    li, o = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_quantity"), read_table(spark, sf_dir, "orders", "o_orderkey", "o_orderpriority")
+    buckets = bucket_count(li, o, rows=bucket_rows, least=buckets)
+    li = write_bucketed(li, f"lineitem_{tag}", scratch_path(spark, "lineitem"), "l_orderkey", buckets)
+    o = write_bucketed(o, f"orders_{tag}", scratch_path(spark, "orders"), "o_orderkey", buckets)
     return (li.join(o.hint("merge"), li["l_orderkey"] == o["o_orderkey"]).groupBy("o_orderkey", "o_orderpriority")
             .agg(F.count(F.lit(1)).alias("n_lines"), F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("quantity")))
 

@@ -77,6 +77,15 @@ def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = ())
     w.parquet(path)
 
 
+#: Rows of a bucket: what a task holds to sort and to join one.
+BUCKET_ROWS = 1 << 20
+
+
+def bucket_count(*tables: DataFrame, rows: int = BUCKET_ROWS, least: int = 8) -> int:
+    """Buckets for tables that are joined by their buckets, of about ``rows`` rows each in the largest; scans are counted from the files' footers."""
+    return max(least, -(-max(t.count() for t in tables) // rows))
+
+
 def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int) -> DataFrame:
     """Write a table in ``buckets`` files groups by the hash of ``key``, sorted by it, and read it from the catalogue.
 

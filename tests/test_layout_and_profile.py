@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from starloom.functions.dates import to_nullable_date
 from starloom.operators import quality
 from starloom.plans import QUERIES, load_all
+from starloom.sources.files import bucket_count
 from tests.conftest import SMALL
 
 load_all()
@@ -18,6 +19,17 @@ def test_bucketed_facts_join_and_group_without_a_shuffle(spark):
     assert "SortMergeJoin" in plan and "Exchange" not in plan
 
 
+def test_buckets_grow_with_the_rows(spark):
+    few, many = (QUERIES["bucketed_star_join"](spark, SMALL, **more) for more in ({}, {"bucket_rows": 300}))
+    assert few.rdd.getNumPartitions() == 8 and many.rdd.getNumPartitions() >= 20
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect()))
+    rows = spark.range(1000)
+    assert (bucket_count(rows, rows.limit(3), rows=300), bucket_count(rows), bucket_count(rows.limit(0), least=2)) == (8, 8, 2)
+    assert bucket_count(rows.limit(3), rows, rows=99, least=2) == 11
+
+
 def test_profile_comes_from_the_one_pass_that_writes(spark, tmp_path):
     reads = spark.sparkContext.accumulator(0)
 
