@@ -69,12 +69,17 @@ def normalize_text(x: str | Column) -> Column:
     Blank collapsing is four passes of ``'  ' -> ' '`` (runs of up to 16
     blanks become one), exactly as the source normaliser does it.
     """
+    s = folded_text(x)
+    return F.when(s == "", F.lit(BLANK)).otherwise(s)
+
+
+def folded_text(x: str | Column) -> Column:
+    """``normalize_text`` with an empty result left empty."""
     s = F.upper(F.coalesce(_c(x).cast("string"), F.lit("")))
     s = F.translate(s, _TRANSLATE_FROM, _TRANSLATE_TO)
     for _ in range(4):
         s = F.replace(s, F.lit("  "), F.lit(" "))
-    s = F.trim(s)
-    return F.when(s == "", F.lit(BLANK)).otherwise(s)
+    return F.trim(s)
 
 
 def normalized(text: str | None) -> str:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.codes import canonical_code, flag, range_guard, try_int
-from starloom.functions.text import NOT_FOUND, normalize_country, normalize_text, normalized, normalized_country
+from starloom.functions.text import BLANK, NOT_FOUND, folded_text, normalize_country, normalize_text, normalized, normalized_country
 from starloom.operators.hierarchy import Hierarchy, choose
 from starloom.operators.lookups import DuplicateMapKey, seed_frame
 from starloom.sources import catalogue
@@ -37,13 +37,19 @@ def constant_map(entries: Iterable[tuple[str, str]]) -> Column:
     return F.expr("map(" + ", ".join(f"{_quoted(k)}, {v}" for k, v in known.items()) + ")")
 
 
+def by_spelling(entries: Iterable[tuple[str, str]], text: Column) -> Column:
+    """The value of a normalised spelling; blank text has that of ``BLANK``, under both, so that a text is normalised once."""
+    known = list(entries)
+    return F.try_element_at(constant_map(known + [("", v) for k, v in known if k == BLANK]), folded_text(text))
+
+
 def label_of(domain: Domain, raw: str | Column) -> Column:
     """The standard label of a raw value: by numeric code, else by normalised spelling, else the raw text where kept, else 'Not Found'."""
     text = (F.col(raw) if isinstance(raw, str) else raw).cast("string")
     tries = []
     if domain.codes:
         tries.append(F.try_element_at(constant_map((c, _quoted(x)) for c, x in domain.codes.items()), canonical_code(text)))
-    tries.append(F.try_element_at(constant_map((normalized(r), _quoted(x)) for r, x in domain.raw_values), normalize_text(text)))
+    tries.append(by_spelling(((normalized(r), _quoted(x)) for r, x in domain.raw_values), text))
     if domain.keep_raw:
         tries.append(F.nullif(F.trim(text), F.lit("")))
     return F.coalesce(*tries, F.lit(NOT_FOUND))
@@ -67,7 +73,7 @@ def with_location(df: DataFrame, country: str, state: str) -> DataFrame:
         F.try_element_at(constant_map((n, parent(i)) for i, n in names.items()), c).alias("exact"),
         F.try_element_at(constant_map((normalized_country(r), parent(i)) for r, i in catalogue.country_raw()), normalize_country(c)).alias("spelled"),
         F.try_element_at(constant_map((code, child[i]) for i, code, _, _ in states if code), canonical_code(s)).alias("coded"),
-        F.try_element_at(constant_map((normalized(r), f"array({child[i]})") for r, i in catalogue.state_raw()), normalize_text(s)).alias("named"),
+        by_spelling(((normalized(r), f"array({child[i]})") for r, i in catalogue.state_raw()), s).alias("named"),
         F.expr(parent(nowhere)).alias("nowhere")))
 
 

@@ -9,7 +9,7 @@ from starloom.operators.resolution import resolve_all
 from starloom.plans.registry import register, sql_normalize
 from starloom.plans.scalar import sql_canonical
 from starloom.sources import catalogue
-from starloom.sources.tables import read_table
+from starloom.sources.tables import read_table, spread
 
 # ---------------------------------------------------------------------------
 # Regions and nations from noisy text.  Every fifth nation
@@ -154,7 +154,7 @@ FROM done t JOIN country c ON c.id = t.cid JOIN state s ON s.id = t.sid
 
 @register("resolve_all", oracle=_resolve_all_sql())
 def resolve_all_q(spark, sf_dir):
-    p = read_table(spark, sf_dir, "part", "p_partkey", "p_size")
+    p = spread(read_table(spark, sf_dir, "part", "p_partkey", "p_size"))
     raw = []
     for i, (name, values) in enumerate(RAW_VALUES.items()):
         at = F.pmod(F.col("p_partkey") * (2 * i + 1) + F.col("p_size"), F.lit(len(values))) + 1

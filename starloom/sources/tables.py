@@ -28,6 +28,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
     return df.select(*columns) if columns else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan in at least as many partitions as the session's shuffles.
+
+    A small file is one task's work however much is done for each of its
+    rows; work that is heavy for its bytes is dealt out before it starts.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df if df.rdd.getNumPartitions() >= n else df.repartition(n)
+
+
 class Tables:
     """Attribute access to the tables of one scale-factor directory."""
 

@@ -7,7 +7,10 @@ from starloom.functions.text import normalize_country, normalize_text, normalize
 from starloom.operators import resolution
 from starloom.operators.hierarchy import Hierarchy, resolve_hierarchy
 from starloom.operators.lookups import DuplicateMapKey
+from starloom.plans import QUERIES, load_all
 from starloom.sources import catalogue
+from starloom.sources.tables import read_table, spread
+from tests.conftest import SMALL
 
 # domain -> (master rows, map rows)
 SIZES = {
@@ -93,6 +96,23 @@ def test_no_join_and_no_shuffle_for_any_number_of_attributes(spark):
     assert "Join" not in plan and "Exchange" not in plan
 
 
+def test_rows_of_one_file_are_dealt_out_before_they_are_resolved(spark):
+    load_all()
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert read_table(spark, SMALL, "part").rdd.getNumPartitions() < n
+    sizes = QUERIES["resolve_all"](spark, SMALL).rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert len(sizes) >= n and max(sizes) < 2 * sum(sizes) / n
+    many = spark.range(0, 40, 1, n + 3)
+    assert spread(many) is many
+
+
+def test_blank_text_has_the_label_of_blank_where_there_is_one(spark):
+    df = spark.createDataFrame([(t,) for t in ("blank", "", " \t. ", None, "A", "?")], "t string")
+    some, none = catalogue.Domain("some", ["A", "B"], {"A": ["a"]}, blank="B"), catalogue.Domain("none", ["A"], {"A": ["a"]})
+    got = df.select(resolution.label_of(some, "t").alias("some"), resolution.label_of(none, "t").alias("none")).collect()
+    assert [tuple(r) for r in got] == [("B", "Not Found")] * 4 + [("A", "A"), ("Not Found", "Not Found")]
+
+
 def test_two_values_for_one_spelling_are_an_error(spark):
     bad = catalogue.Domain("bad", ["A", "B"], {"A": ["x"], "B": [" X. "]})
     with pytest.raises(DuplicateMapKey):
