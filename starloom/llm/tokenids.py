@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import MEMO_BYTES, MEMO_ENTRY, bytes_of, held, pieces, small_batches
+from starloom.llm.common import MEMO_ENTRY, bytes_of, held, pieces, small_batches
 from starloom.session import scratch_path
 
 #: Ids in a word and bits for each, by selector from 1; selector 0 escapes. Fixed by the coding.
@@ -31,8 +31,12 @@ COUNTS = np.array([1, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1], np.i
 WIDTHS = np.array([64, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60], np.uint64)
 #: The largest id of each selector from 1.
 LARGEST = (np.uint64(1) << WIDTHS[1:]) - np.uint64(1)
+#: The first selector whose width holds an id, for ids of most vocabularies.
+NEED = np.searchsorted(LARGEST, np.arange(1 << 18, dtype=np.uint64)).astype(np.uint8) + 1
 HEAD = struct.Struct("<4sIQII")
 TAG = b"S8B1"
+#: Bytes, by estimate, of words that a Python worker remembers; a rare word costs ten times a known one.
+MEMO_BYTES = 256 << 20
 #: A block is closed when it has so many ids.
 BLOCK_IDS = 1 << 15
 
@@ -42,22 +46,17 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     ids = np.asarray(ids, np.uint64)
     n = len(ids)
     # the first selector whose width holds each id; an id that none holds escapes
-    need = np.searchsorted(LARGEST, ids).astype(np.uint8) + 1
-    choice = np.zeros(n, np.int64)
+    small = n and ids.max() < len(NEED)
+    need = NEED[ids.astype(np.int64)] if small else np.searchsorted(LARGEST, ids).astype(np.uint8) + 1
+    # the widest need among as many ids as a selector takes, from each place on; the last word is filled up with zeros
+    choice, span, widest = np.zeros(n, np.uint8), 1, np.concatenate((need, np.zeros(int(COUNTS.max()), np.uint8)))
     for s in range(len(COUNTS) - 1, 0, -1):
-        # runs between ids that are too wide; short of a whole word, only the last one counts, as it is filled up with zeros
-        wide = np.concatenate(([-1], np.flatnonzero(need > s), [n]))
-        runs = np.diff(wide) - 1
-        runs[-1] += COUNTS[s] - 1 if runs[-1] else 0
-        long = np.flatnonzero(runs >= COUNTS[s])
-        if len(long) == 1 and len(runs) == 1:
-            choice[:] = s
-        elif len(long):
-            edge = np.zeros(n + 1, np.int8)
-            edge[wide[long] + 1] += 1
-            edge[np.minimum(wide[long] + 1 + runs[long] - COUNTS[s] + 1, n)] -= 1
-            choice[np.cumsum(edge[:n], dtype=np.int8) > 0] = s
-    steps, at, starts = COUNTS[choice].tolist(), 0, []
+        more = int(COUNTS[s]) - span
+        if more:
+            widest = np.maximum(widest[:-more], widest[more:])
+            span += more
+        choice = np.where(widest[:n] <= s, np.uint8(s), choice)
+    steps, at, starts = COUNTS.astype(np.uint8)[choice].tobytes(), 0, []
     while at < n:
         starts.append(at)
         at += steps[at]
@@ -71,9 +70,10 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if s == 0:
             words[place[own] + 1] = ids[starts[own]]
             continue
-        each = padded[starts[own][:, None] + np.arange(COUNTS[s])]
-        shifts = np.arange(COUNTS[s]).astype(np.uint64) * WIDTHS[s]
-        words[place[own]] = np.bitwise_or.reduce(each << shifts, axis=1) | np.uint64(s << 60)
+        each, word = starts[own], np.full(len(own), s << 60, np.uint64)
+        for k in range(int(COUNTS[s])):
+            word |= padded[each + k] << (np.uint64(k) * WIDTHS[s])
+        words[place[own]] = word
     return words, place[chosen == 0].astype(np.uint32)
 
 
@@ -135,6 +135,10 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+#: Little-endian 32-bit bytes of so many ids.
+_PACKED = [struct.Struct(f"<{n}I").pack for n in range(32)]
+
+
 class WordIds(dict):
     """A tokenizer's ids by word, as little-endian 32-bit bytes.
 
@@ -150,13 +154,13 @@ class WordIds(dict):
         self.size = 0
         self.older: dict[bytes, bytes] = {}
         self.tokenizer = Tokenizer.from_str(spec)
-        self.model = self.tokenizer.model
+        self.tokenize = self.tokenizer.model.tokenize
         parts = json.loads(spec)
         steps = [x["type"] for x in (parts["normalizer"] or {}).get("normalizers", [])]
         units = (parts["pre_tokenizer"] or {}).get("pretokenizers", [])
         self.plain = (steps == ["NFC", "Replace", "Lowercase"] and [x["type"] for x in units] == ["Split", "ByteLevel"]
                       and not units[1]["add_prefix_space"] and units[0]["pattern"].get("Regex", "").endswith("|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"))
-        self.letters = [_byte_letters()[b] for b in range(256)]
+        self.letters = _byte_letters()
 
     def __missing__(self, word: bytes) -> bytes:
         out = self.older.pop(word, None)
@@ -167,14 +171,22 @@ class WordIds(dict):
         return out
 
     def _ids(self, word: bytes) -> bytes:
-        body = word.rstrip(TAIL)
-        text = body.decode()
-        if self.plain and text.isalpha() and (text.isascii() and text.islower() or text == text.lower() and unicodedata.is_normalized("NFC", text)):
-            if len(body) < len(word):
-                return self[body] + self[word[len(body):]]
-            units = text if text.isascii() else "".join([self.letters[b] for b in body])
-            return np.array([t.id for t in self.model.tokenize(units)], "<u4").tobytes()
-        return np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+        if self.plain:
+            body = word.rstrip(TAIL)
+            if body.isalpha() and body.islower():
+                units = body.decode()
+            else:
+                text = body.decode()
+                own = text.isalpha() and text == text.lower() and unicodedata.is_normalized("NFC", text)
+                units = body.decode("latin-1").translate(self.letters) if own else ""
+            if units:
+                if len(body) < len(word):
+                    return self[body] + self[word[len(body):]]
+                return self._packed([t.id for t in self.tokenize(units)])
+        return self._packed(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids)
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return _PACKED[len(ids)](*ids) if len(ids) < len(_PACKED) else np.array(ids, "<u4").tobytes()
 
     def text(self, raw: bytes) -> bytes:
         """Ids of a whole text.

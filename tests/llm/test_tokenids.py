@@ -31,6 +31,44 @@ def test_runs_and_blocks():
     assert len(tokenids.pack(np.zeros(1200, np.uint64))[0]) == 10
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(SIZES.flatmap(lambda b: st.integers(0, (1 << b) - 1)), st.integers(1, 70)), max_size=20))
+def test_each_word_has_the_most_ids_that_fit(runs):
+    values, want, escapes, at = [v for v, n in runs for _ in range(n)], [], [], 0
+    while at < len(values):
+        # the first selector that holds as many ids as it takes, zeros after the last one
+        for s in range(1, 16):
+            ids, width = values[at:at + int(tokenids.COUNTS[s])], int(tokenids.WIDTHS[s])
+            if all(x < 1 << width for x in ids):
+                want.append(s << 60 | sum(x << k * width for k, x in enumerate(ids)))
+                break
+        else:
+            escapes.append(len(want))
+            ids = values[at:at + 1]
+            want += [0, *ids]
+        at += len(ids)
+    words, places = tokenids.pack(np.array(values, np.uint64))
+    assert words.tolist() == want and places.tolist() == escapes
+
+
+def test_a_corpus_words_are_remembered():
+    class Counted(tokenids.WordIds):
+        found = 0
+
+        def _ids(self, word):
+            self.found += 1
+            return super()._ids(word)
+
+    with open(FILE, encoding="utf-8") as f:
+        words = Counted(f.read())
+    letters = "abcdefghijklmnopqrst"
+    texts = [" ".join(f"{a}{b}{c}{d}" for c in letters for d in letters).encode() + b" " + f"{a}{b}.".encode() for a in letters for b in letters]
+    texts += [t.replace(b" ", b"x ") for t in texts]
+    first = [words.text(t) for t in texts]
+    n = words.found
+    assert n > 300000 and [words.text(t) for t in texts] == first and words.found == n
+
+
 def brute(data, end=2):
     tok = Tokenizer.from_file(FILE)
     ids = {i: [*tok.encode(r[1] or "", add_special_tokens=False).ids, end] for i, r in enumerate(data)}
