@@ -99,7 +99,8 @@ def close_pairs(points: DataFrame, distance: int = 4, fp: str = "fp") -> DataFra
         chain = F.element_at(F.array(*map(F.lit, masks)), F.col("i") + 1)
         within = within & (F.bit_count(differ.bitwiseAND(chain)) <= length * k // m)
     same = (F.col("i") == F.col("j")) & (F.col("key") == F.col("other_key")) & (F.col("x") < F.col("y"))
-    near = one.join(other, same & within & (F.bit_count(differ) <= k))
+    # Spark sizes both sides as if nothing had been exploded, and would send the larger one through the driver
+    near = one.hint("merge").join(other.hint("merge"), same & within & (F.bit_count(differ) <= k))
     return near.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
 
 
