@@ -4,6 +4,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from starloom.llm import simhash
+from starloom.llm.common import store
 from starloom.llm.components import components
 from tests.llm.cases import documents, rows
 
@@ -65,6 +66,16 @@ def test_pairs_match_brute_force(spark):
         assert {frozenset(p) for p in got} == want and len(got) == len(want)
 
 
+def test_candidates_never_go_through_the_driver(spark):
+    """Exploded rows are sized too low, so a join left to Spark's choice sends them all to the driver."""
+    points = store(spark.createDataFrame([(1,), (3,), (1 << 40,)], "fp long"), "points")
+    for k in (1, 4):
+        near = simhash.close_pairs(points, k)
+        plan = near._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+        assert [(r.a, r.b) for r in near.filter("a < 9 and b < 9").collect()] == [(1, 3)]
+
+
 def test_components_of_paths_stars_and_rings(spark):
     rng = random.Random(5)
     links = [(i, i + 1) for i in range(0, 70)] + [(200, i) for i in range(201, 260)] + [(300 + i, 300 + (i + 1) % 9) for i in range(9)] + [(7, 7)]
